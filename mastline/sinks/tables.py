@@ -27,6 +27,11 @@ def union_evolved(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _lacking(schema: T.StructType | None, incoming: T.StructType) -> list[T.StructField]:
+    known = set(schema.names) if schema else set()
+    return [T.StructField(f.name, f.dataType) for f in incoming if f.name not in known]
+
+
 class DatedTable:
     """A Parquet dataset partitioned by one date column.
 
@@ -42,11 +47,20 @@ class DatedTable:
         self.path = path.rstrip("/")
         self.key = key
         self.declared = declared
+        self._schema: T.StructType | None = None
 
     # -- schema ------------------------------------------------------------
 
-    def schema(self) -> T.StructType | None:
-        """The evolved schema, or None while the table does not exist."""
+    def schema(self, refresh: bool = False) -> T.StructType | None:
+        """The evolved schema, or None while the table does not exist.
+
+        Remembered once read; ``refresh`` picks up columns another session added.
+        """
+        if self._schema is None or refresh:
+            self._schema = self._logged_schema()
+        return self._schema
+
+    def _logged_schema(self) -> T.StructType | None:
         try:
             log = self.spark.read.schema("at string, fields string").json(f"{self.path}/_schema")
         except AnalysisException as error:
@@ -55,28 +69,31 @@ class DatedTable:
             raise
         merged: dict[str, T.StructField] = {}
         # One row per evolution of the table, not per data row.
-        for row in log.orderBy("at").collect():
+        for row in sorted(log.collect()):
             for field in T.StructType.fromJson(json.loads(row.fields)):
                 merged.setdefault(field.name, field)
         return T.StructType(list(merged.values()))
 
     def evolve(self, incoming: T.StructType) -> T.StructType:
         """Add the columns the table lacks; return its new schema."""
-        current = self.schema()
-        known = {f.name: f.dataType for f in current} if current else {}
+        if _lacking(self.schema(), incoming):
+            self.schema(refresh=True)
+        current = self._schema or T.StructType()
+        types = {f.name: f.dataType for f in current}
         clashes = [
-            f"{f.name}: table has {known[f.name].simpleString()}, got {f.dataType.simpleString()}"
+            f"{f.name}: table has {types[f.name].simpleString()}, got {f.dataType.simpleString()}"
             for f in incoming
-            if f.name in known and known[f.name] != f.dataType
+            if types.get(f.name, f.dataType) != f.dataType
         ]
         if clashes:
             raise SchemaConflictError(f"{self.path}: {'; '.join(clashes)}")
-        added = [T.StructField(f.name, f.dataType) for f in incoming if f.name not in known]
+        added = _lacking(current, incoming)
         if added:
             entry = [(utc_now(), json.dumps(T.StructType(added).jsonValue()))]
             log = self.spark.createDataFrame(entry, "at string, fields string")
             log.coalesce(1).write.mode("append").json(f"{self.path}/_schema")
-        return T.StructType([*(current or []), *added])
+            self._schema = T.StructType([*current, *added])
+        return self._schema
 
     # -- reads -------------------------------------------------------------
 
@@ -98,8 +115,9 @@ class DatedTable:
 
     def counts(self, dates: list[str]) -> dict[str, int]:
         """Rows per date, from file footers alone; at most one row per date asked for."""
-        found = self.read(dates=dates).groupBy(self.key).count()
-        stored = {r[0]: r[1] for r in found.collect()} if self.schema() else {}
+        stored = {}
+        if self.schema() is not None:
+            stored = dict(self.read(dates=dates).groupBy(self.key).count().collect())
         return {d: stored.get(d, 0) for d in dates}
 
     # -- writes ------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mastline.constants import REQUIRED_COLUMNS
 from mastline.functions import clock
 
 
@@ -22,11 +23,12 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def faulty_readings(spark: SparkSession, folder: str) -> DataFrame:
+def faulty_readings(spark: SparkSession, folder: str, bad_tower: str | None = "bad") -> DataFrame:
     """All reading columns as text, with duplicates, gaps and bad values.
 
     Faults follow from the event id, so any engine can build the same rows.
-    A repeated row carries a later ``seq`` and another volume.
+    A repeated row carries a later ``seq`` and another volume.  With
+    ``bad_tower`` None the unreadable tower ids are blank instead.
     """
     e = F.col("seq")
 
@@ -39,7 +41,7 @@ def faulty_readings(spark: SparkSession, folder: str) -> DataFrame:
     volume = F.col("data_volume_mb") + F.col("copy")
     return text.select(
         (e + F.col("copy") * 1_000_000_000).alias("seq"),
-        F.when(every(19), "bad").otherwise(F.col("tower_id").cast("string")).alias("tower_id"),
+        F.when(every(19), F.lit(bad_tower)).otherwise(F.col("tower_id").cast("string")).alias("tower_id"),
         F.when(~every(17), F.col("region")).alias("region"),
         F.when(
             ~every(37),
@@ -49,3 +51,19 @@ def faulty_readings(spark: SparkSession, folder: str) -> DataFrame:
         F.when(every(29), -volume).otherwise(volume).cast("string").alias("data_volume_mb"),
         "_execution_date",
     )
+
+
+def write_drops(df: DataFrame, folder: str) -> None:
+    """Write readings as one daily source per date, rows in ``seq`` order.
+
+    Ranges over (date, seq) keep the order across part files without putting a
+    whole date into one task.
+    """
+    named = df.withColumn("drop", clock.file_name_of(F.col("_execution_date")))
+    (
+        named.repartitionByRange("drop", "seq")
+        .sortWithinPartitions("drop", "seq")
+        .select("drop", *REQUIRED_COLUMNS)
+        .write.partitionBy("drop")
+        .csv(folder, header=True)
+    )
