@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from mastline.constants import BOOLEAN_TOKENS, EXPECTED_KINDS, REQUIRED_COLUMNS
 from mastline.functions.messages import name_list, name_set
-from mastline.functions.numeric import text_to_double
+from mastline.functions.numeric import is_number_text, is_whole_text
 
 
 class SchemaEvolutionError(RuntimeError):
@@ -21,8 +21,7 @@ def _counters(df: DataFrame, column: str) -> Column:
     c = F.col(column)
     present = c.isNotNull()
     if isinstance(kind, T.StringType):
-        whole = c.try_cast("bigint").isNotNull()
-        number = whole | text_to_double(c).isNotNull()
+        whole, number = is_whole_text(c), is_number_text(c)
         truth = c.isin(BOOLEAN_TOKENS)
     else:
         whole = present & F.lit(isinstance(kind, T.IntegralType))
