@@ -75,7 +75,7 @@ class Engine:
 
     def available(self, dates: str | list[str]) -> tuple[list[drops.Drop], list[str]]:
         """Found sources and missing dates among those asked for."""
-        return drops.availability(self._spine(_listed(dates)), drops.manifest(self.spark, self.source))
+        return drops.availability(self.spark, self._spine(_listed(dates)), self.source)
 
     def _columns_by_date(self, heads: dict[str, list[str]]) -> DataFrame:
         shape = "execution_date string, columns array<string>"
@@ -99,6 +99,9 @@ class Engine:
             if lacking:
                 raise FileNotFoundError(f"No source file for date(s): {lacking}")
         heads = heads or drops.headers(self.spark, found)
+        blank = [d.path for d in found if not heads[d.execution_date]]
+        if blank:
+            raise ValueError(f"No columns to parse from file(s): {blank}")
         raw = drops.scan(self.spark, found, heads)
         verdicts = kinds.schema_evolution(raw, self._columns_by_date(heads), strict=self.strict)
         kinds.require_stable_schema(verdicts)
@@ -210,7 +213,7 @@ class Engine:
         """
         spine = calendar.resolve_dates(self.spark, logical_date, start, end)
         self.ledger.open(run_id, spine)
-        found, lacking = drops.availability(spine, drops.manifest(self.spark, self.source))
+        found, lacking = drops.availability(self.spark, spine, self.source)
         note = f"No source file for date(s): {lacking}"
         if not found:
             self.ledger.update_all_running(run_id, SKIPPED, note)

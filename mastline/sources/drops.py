@@ -17,6 +17,9 @@ from mastline.sinks.tables import union_evolved
 
 _STAMP_LENGTH = 8 + len(FILE_SUFFIX)
 
+# Raw text of a row whose field count differs from its header's.
+_MALFORMED = "__malformed"
+
 # What a scan adds to the source columns.
 _SCAN_TAIL = T.StructType(
     [
@@ -70,18 +73,35 @@ def missing(spine: DataFrame, arrivals: DataFrame) -> DataFrame:
     return spine.join(arrivals, "execution_date", "left_anti")
 
 
-def availability(spine: DataFrame, arrivals: DataFrame) -> tuple[list[Drop], list[str]]:
+def availability(spark: SparkSession, spine: DataFrame, folder: str) -> tuple[list[Drop], list[str]]:
     """Found drops and missing dates; one row per requested date comes to the driver."""
-    rows = spine.join(arrivals, "execution_date", "left").orderBy("execution_date").collect()
-    found = [Drop(r.execution_date, r.path, r.bytes) for r in rows if r.path is not None]
-    return found, [r.execution_date for r in rows if r.path is None]
+    rows = spine.join(manifest(spark, folder), "execution_date", "left").orderBy("execution_date").collect()
+    found, lacking = [], []
+    for r in rows:
+        path = r.path or f"{folder.rstrip('/')}/{clock.file_name(r.execution_date)}"
+        # Spark's file listings leave out files of zero bytes; those have arrived too.
+        if r.path or _exists(spark, path):
+            found.append(Drop(r.execution_date, path, r.bytes or 0))
+        else:
+            lacking.append(r.execution_date)
+    return found, lacking
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def headers(spark: SparkSession, drops: list[Drop]) -> dict[str, list[str]]:
     """Column names of each date's source, from its first line only."""
 
     def first_line(drop: Drop) -> list[str]:
-        return _reader(spark).csv(drop.path).columns
+        return _reader(spark).csv(drop.path).columns if drop.bytes else []
 
     if not drops:
         return {}
@@ -117,11 +137,12 @@ def scan(spark: SparkSession, drops: list[Drop], columns: dict[str, list[str]])
 
 
 def _scan_group(spark: SparkSession, head: tuple[str, ...], paths: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in head])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*head, _MALFORMED)])
     # Scan facts first: later operators may regroup rows.
-    raw = _reader(spark).schema(schema).csv(paths)
+    raw = _reader(spark).schema(schema).option("columnNameOfCorruptRecord", _MALFORMED).csv(paths)
     placed = raw.select(
         *(missing_to_null(F.col(f"`{c}`")).alias(c) for c in head),
+        _MALFORMED,
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__row"),
@@ -131,10 +152,24 @@ def _scan_group(spark: SparkSession, head: tuple[str, ...], paths: list[str]) ->
     return placed.select(
         *(F.col(f"`{c}`") for c in head),
         F.concat(F.lit(FILE_PREFIX), F.left(stamp, F.lit(_STAMP_LENGTH))).alias("_source_file"),
-        clock.date_in_path(F.col("__file")).alias("_execution_date"),
+        # On the one column every reader of a scan uses, so no row goes unchecked.
+        F.when(_has_surplus(len(head)), F.raise_error(_surplus_text()))
+        .otherwise(clock.date_in_path(F.col("__file")))
+        .alias("_execution_date"),
         F.struct(
             F.when(single, "").otherwise(F.substring_index("__file", "/", -1)).alias("part"),
             F.col("__block").alias("block"),
             F.col("__row").alias("row"),
         ).alias("_row_seq"),
     )
+
+
+def _has_surplus(width: int) -> Column:
+    """Whether a row has more fields than its header; a shorter row is only padded."""
+    wider = ", ".join(f"c{i} string" for i in range(width + 1))
+    fields = F.from_csv(F.col(_MALFORMED), wider, {"escape": '"'})
+    return F.col(_MALFORMED).isNotNull() & fields[f"c{width}"].isNotNull()
+
+
+def _surplus_text() -> Column:
+    return F.concat(F.col("__file"), F.lit(": a row has more fields than its header: "), F.col(_MALFORMED))
