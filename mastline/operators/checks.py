@@ -247,13 +247,13 @@ _VERDICTS = {
 # -- digests ---------------------------------------------------------------
 
 
-def has_failures(results: DataFrame) -> Column:
-    """Aggregate: whether any check failed."""
+def has_failures() -> Column:
+    """Aggregate over results: whether any check failed."""
     return F.coalesce(F.bool_or(F.col("status") == "fail"), F.lit(False))
 
 
 def any_failure(results: DataFrame) -> bool:
-    return results.agg(has_failures(results).alias("failed")).first().failed
+    return results.agg(has_failures().alias("failed")).first().failed
 
 
 def gate_digest(results: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def gate_digest(results: DataFrame) -> DataFrame:
         return name_list(F.transform(F.array_sort(hits), lambda h: h["check_name"]))
 
     return results.groupBy("execution_date").agg(
-        has_failures(results).alias("has_failures"),
+        has_failures().alias("has_failures"),
         named("fail").alias("failed_checks"),
         named("warn").alias("warned_checks"),
     )

@@ -26,6 +26,7 @@ from mastline.constants import (
 )
 from mastline.functions.clock import utc_now
 from mastline.operators import checks, clean, kinds, rollups
+from mastline.session import small_frame
 from mastline.sinks.ledger import RunLedger
 from mastline.sinks.tables import DatedTable
 from mastline.sources import calendar, drops
@@ -71,7 +72,7 @@ class Engine:
     # -- sources -----------------------------------------------------------
 
     def _spine(self, dates: list[str]) -> DataFrame:
-        return self.spark.createDataFrame([(d,) for d in dates], "execution_date string")
+        return small_frame(self.spark, [(d,) for d in dates], "execution_date string")
 
     def available(self, dates: str | list[str]) -> tuple[list[drops.Drop], list[str]]:
         """Found sources and missing dates among those asked for."""
@@ -79,7 +80,7 @@ class Engine:
 
     def _columns_by_date(self, heads: dict[str, list[str]]) -> DataFrame:
         shape = "execution_date string, columns array<string>"
-        return self.spark.createDataFrame(list(heads.items()), shape)
+        return small_frame(self.spark, list(heads.items()), shape)
 
     # -- bronze ------------------------------------------------------------
 
@@ -163,7 +164,7 @@ class Engine:
         # Readings of a tower share a file, so gold combines them before its shuffle.
         files = -(-largest // self.rows_per_file)
         spread = F.pmod(F.xxhash64("tower_id"), F.lit(files)) if files > 1 else None
-        return self.tables[SILVER].replace(tidy, listed, spread=spread)
+        return self.tables[SILVER].replace(tidy, listed, spread=spread, sort=["tower_id", "timestamp"])
 
     def read_silver(self, dates: str | list[str]) -> DataFrame:
         return self.tables[SILVER].read(dates=_listed(dates))

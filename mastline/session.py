@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Sizes are per shuffle partition / per scan split: they bound what one task
 # holds, whatever the total input.
@@ -19,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A task that holds few dates writes them side by side instead of sorting by date.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
@@ -48,3 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="mastline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], shape: str) -> DataFrame:
+    """A handful of driver-side rows (run dates, ledger events) as a frame.
+
+    They travel as one literal, so no Python partitions are spun up for them.
+    """
+    schema = T.StructType.fromDDL(shape)
+    data = json.dumps([dict(zip(schema.names, row)) for row in rows])
+    parsed = F.from_json(F.lit(data), T.ArrayType(schema))
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))

@@ -7,10 +7,11 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mastline.constants import ERROR_TEXT_LIMIT, RUNNING
 from mastline.functions.clock import utc_now
 from mastline.operators import ledger as fold
-from mastline.constants import ERROR_TEXT_LIMIT, RUNNING
 from mastline.schemas import LEDGER_EVENT_SCHEMA
+from mastline.session import small_frame
 from mastline.sinks.tables import DatedTable
 
 
@@ -47,7 +48,7 @@ class RunLedger:
         seq, at = self._tick()
         shape = "table_name string, execution_date string, status string, error string, records bigint"
         cut = [(t, d, s, e[:ERROR_TEXT_LIMIT] if e else None, n) for t, d, s, e, n in rows]
-        events = self.spark.createDataFrame(cut, shape).select(
+        events = small_frame(self.spark, cut, shape).select(
             "table_name",
             "execution_date",
             F.lit(file).cast("string").alias("file_name"),
@@ -58,7 +59,7 @@ class RunLedger:
             F.col("records").alias("records_processed"),
             F.lit(run_id).alias("run_id"),
         )
-        self.table.append(events.coalesce(1))
+        self.table.append(events)
 
     def update_status(
         self,

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mastline.functions.clock import utc_now
+from mastline.session import small_frame
+
+
+# Date values that need no escaping in a path pattern.
+_PLAIN = re.compile(r"[\w-]+")
 
 
 class SchemaConflictError(ValueError):
@@ -90,8 +96,8 @@ class DatedTable:
         added = _lacking(current, incoming)
         if added:
             entry = [(utc_now(), json.dumps(T.StructType(added).jsonValue()))]
-            log = self.spark.createDataFrame(entry, "at string, fields string")
-            log.coalesce(1).write.mode("append").json(f"{self.path}/_schema")
+            log = small_frame(self.spark, entry, "at string, fields string")
+            log.write.mode("append").json(f"{self.path}/_schema")
             self._schema = T.StructType([*current, *added])
         return self._schema
 
@@ -100,18 +106,31 @@ class DatedTable:
     def read(self, filters: dict | None = None, dates: list[str] | None = None) -> DataFrame:
         """Rows meeting every filter; an empty frame while the table does not exist.
 
-        ``dates`` prunes partitions.
+        ``dates``, or a filter on the date column, limits the read to those
+        partitions, files of other dates are not even listed.
         """
-        schema = self.schema()
-        if schema is None:
-            empty = self.declared or T.StructType()
-            return self.spark.createDataFrame([], empty)
-        frame = self.spark.read.schema(schema).parquet(self.path)
-        if dates is not None:
-            frame = frame.where(F.col(self.key).isin(list(dates)))
-        if filters:
-            frame = frame.where(all_equal(filters))
-        return frame
+        if self.schema() is None:
+            return self.spark.createDataFrame([], self.declared or T.StructType())
+        filters = filters or {}
+        if dates is None and self.key in filters:
+            dates = [filters[self.key]]
+        return self._partitions(dates).where(all_equal(filters))
+
+    def _partitions(self, dates: list[str] | None) -> DataFrame:
+        reader = self.spark.read.schema(self._schema)
+        if dates is None:
+            return reader.parquet(self.path)
+        wanted = F.col(self.key).isin(list(dates))
+        if not all(_PLAIN.fullmatch(d) for d in dates):
+            return reader.parquet(self.path).where(wanted)
+        try:
+            # A pattern, unlike a list of paths, may name dates that are not there.
+            pattern = f"{self.path}/{self.key}={{{','.join(dates)}}}"
+            return reader.option("basePath", self.path).parquet(pattern).where(wanted)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], self._schema)
+            raise
 
     def counts(self, dates: list[str]) -> dict[str, int]:
         """Rows per date, from file footers alone; at most one row per date asked for."""
@@ -143,6 +162,7 @@ class DatedTable:
         ones share a task.  Returns rows per date.
         """
         self.evolve(df.schema)
+        old_files = self._files(dates)
         out = df
         if rebalance:
             columns = [F.col(self.key)]
@@ -150,9 +170,6 @@ class DatedTable:
                 out = out.withColumn("__spread", spread)
                 columns.append(F.col("__spread"))
             out = out.hint("rebalance", *columns).drop("__spread")
-        # A set of dates, so a retried task cannot miscount.
-        seen = Observation()
-        out = out.observe(seen, F.collect_set(self.key).alias("dates"))
         if sort:
             out = out.sortWithinPartitions(self.key, *sort)
         (
@@ -161,8 +178,10 @@ class DatedTable:
             .partitionBy(self.key)
             .parquet(self.path)
         )
-        # Dynamic overwrite leaves a date alone when it got no rows at all.
-        self._clear(sorted(set(dates) - set(seen.get["dates"] or [])))
+        # Dynamic overwrite leaves a date alone when it got no rows at all: its
+        # old files are still there.
+        left = old_files & self._files(dates)
+        self._clear([d for d in dates if any(f"/{self.key}={d}/" in f for f in left)])
         return self.counts(dates)
 
     def delete(self, filters: dict) -> None:
@@ -171,18 +190,19 @@ class DatedTable:
         if schema is None:
             return
         if set(filters) == {self.key}:
-            self._clear([filters[self.key]])
+            self._clear([filters[self.key]] if self._files([filters[self.key]]) else [])
             return
         hit = all_equal(filters)
         touched = [r[0] for r in self.read().where(hit).select(self.key).distinct().collect()]
         kept = self.read(dates=touched).where(~F.coalesce(hit, F.lit(False)))
         self.replace(kept, touched)
 
+    def _files(self, dates: list[str]) -> set[str]:
+        """Data files of the dates: file names only, from the listing a read makes anyway."""
+        return set(self._partitions(dates).inputFiles())
+
     def _clear(self, dates: list[str]) -> None:
-        if not dates:
-            return
-        held = self.read(dates=dates).select(self.key).distinct()
         body = T.StructType([f for f in self.schema() if f.name != self.key])
         nothing = self.spark.createDataFrame([], body)
-        for row in held.collect():
-            nothing.write.mode("overwrite").parquet(f"{self.path}/{self.key}={row[0]}")
+        for date in dates:
+            nothing.write.mode("overwrite").parquet(f"{self.path}/{self.key}={date}")
