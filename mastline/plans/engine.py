@@ -164,7 +164,7 @@ class Engine:
         # Readings of a tower share a file, so gold combines them before its shuffle.
         files = -(-largest // self.rows_per_file)
         spread = F.pmod(F.xxhash64("tower_id"), F.lit(files)) if files > 1 else None
-        return self.tables[SILVER].replace(tidy, listed, spread=spread, sort=["tower_id", "timestamp"])
+        return self.tables[SILVER].replace(tidy, listed, spread=spread)
 
     def read_silver(self, dates: str | list[str]) -> DataFrame:
         return self.tables[SILVER].read(dates=_listed(dates))
@@ -212,7 +212,13 @@ class Engine:
         Dates without a source are skipped, the others go on.  Returns the
         run's ledger rows.
         """
-        spine = calendar.resolve_dates(self.spark, logical_date, start, end)
+        return self._run(run_id, calendar.resolve_dates(self.spark, logical_date, start, end))
+
+    def run_dates(self, run_id: str, dates: list[str]) -> DataFrame:
+        """A run over any set of dates."""
+        return self._run(run_id, self._spine(dates))
+
+    def _run(self, run_id: str, spine: DataFrame) -> DataFrame:
         self.ledger.open(run_id, spine)
         found, lacking = drops.availability(self.spark, spine, self.source)
         note = f"No source file for date(s): {lacking}"
