@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mastline.constants import DAILY, FACT, HOURLY
 from mastline.functions.numeric import StableSum, nan_to_null, round_half_even
 
 _SIGNAL = StableSum("signal_strength")
@@ -95,6 +96,8 @@ def daily_rollup(df: DataFrame, date_column: str = "_execution_date") -> DataFra
 
 
 # Presentation order of each aggregate within a date.
-FACT_ORDER = ["tower_id", "region"]
-HOURLY_ORDER = ["region", "event_hour"]
-DAILY_ORDER = ["region"]
+ORDERS = {
+    FACT: ["tower_id", "region"],
+    HOURLY: ["region", "event_hour"],
+    DAILY: ["region"],
+}

@@ -679,26 +679,26 @@ _PIPELINE = _silver("NULL")
 
 
 @query(
-    "pipeline_silver",
+    "backfill_silver",
     f"""WITH {_PIPELINE} SELECT * EXCLUDE (seq, execution_date), execution_date AS _execution_date,
   'network_metrics_' || replace(execution_date, '-', '') || '.csv' AS _source_file, 'backfill' AS _run_id FROM s""",
 )
-def pipeline_silver(spark, folder):
+def backfill_silver(spark, folder):
     return _finished_run(spark, folder).read_table("silver.network_metrics_clean").drop("_ingested_at")
 
 
-@query("pipeline_fact_snapshot", f"WITH {_PIPELINE} {_fact_sql('s')}")
-def pipeline_fact_snapshot(spark, folder):
+@query("backfill_fact_snapshot", f"WITH {_PIPELINE} {_fact_sql('s')}")
+def backfill_fact_snapshot(spark, folder):
     return _finished_run(spark, folder).read_table("gold.fact_tower_daily_snapshot")
 
 
-@query("pipeline_hourly", f"WITH {_PIPELINE} {_rollup_sql('s', 'region, event_hour')}")
-def pipeline_hourly(spark, folder):
+@query("backfill_hourly", f"WITH {_PIPELINE} {_rollup_sql('s', 'region, event_hour')}")
+def backfill_hourly(spark, folder):
     return _finished_run(spark, folder).read_table("gold.network_metrics_hourly")
 
 
-@query("pipeline_daily", f"WITH {_PIPELINE} {_rollup_sql('s', 'region')}")
-def pipeline_daily(spark, folder):
+@query("backfill_daily", f"WITH {_PIPELINE} {_rollup_sql('s', 'region')}")
+def backfill_daily(spark, folder):
     return _finished_run(spark, folder).read_table("gold.network_metrics_daily")
 
 
@@ -706,15 +706,15 @@ _LOGGED_COLUMNS = [c for c in BRONZE_SCHEMA.names if c != "_row_seq"]
 
 
 @query(
-    "pipeline_dq_log",
+    "backfill_dq_log",
     f"""WITH {_x("NULL")}, {_dq_sql('x', _LOGGED_COLUMNS)} SELECT *, 'backfill' AS run_id FROM q""",
 )
-def pipeline_dq_log(spark, folder):
+def backfill_dq_log(spark, folder):
     return _finished_run(spark, folder).read_table("pipeline.dq_log").drop("checked_at")
 
 
 @query(
-    "pipeline_ledger",
+    "backfill_ledger",
     f"""WITH {_PIPELINE}, n AS (
   SELECT 'bronze.network_metrics_raw' AS table_name, execution_date, COUNT(*) AS n FROM x GROUP BY 2
   UNION ALL SELECT 'silver.network_metrics_clean', execution_date, COUNT(*) FROM s GROUP BY 2
@@ -725,6 +725,6 @@ SELECT 'backfill' AS run_id, table_name, execution_date,
   'network_metrics_' || replace(execution_date, '-', '') || '.csv' AS file_name, 'success' AS status,
   NULL::VARCHAR AS error_message, n AS records_processed FROM n""",
 )
-def pipeline_ledger(spark, folder):
+def backfill_ledger(spark, folder):
     state = _finished_run(spark, folder).ledger.state("backfill")
     return state.drop("start_datetime", "finish_datetime")

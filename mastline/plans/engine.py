@@ -180,18 +180,23 @@ class Engine:
         listed = _listed(dates)
         silver = self.read_silver(listed)
         built = {
-            FACT: (rollups.fact_snapshot(silver), rollups.FACT_ORDER),
-            HOURLY: (rollups.hourly_rollup(silver), rollups.HOURLY_ORDER),
-            DAILY: (rollups.daily_rollup(silver), rollups.DAILY_ORDER),
+            FACT: rollups.fact_snapshot(silver),
+            HOURLY: rollups.hourly_rollup(silver),
+            DAILY: rollups.daily_rollup(silver),
         }
         # Independent writes: one's last tasks overlap with the next one's first.
         with ThreadPoolExecutor(len(built)) as pool:
             writes = {
-                name: pool.submit(self.tables[name].replace, frame, listed, sort=order)
-                for name, (frame, order) in built.items()
+                name: pool.submit(self.tables[name].replace, frame, listed, sort=rollups.ORDERS[name])
+                for name, frame in built.items()
             }
         return {name: write.result() for name, write in writes.items()}
 
+    def read_gold(self, name: str, dates: str | list[str] | None = None) -> DataFrame:
+        """An aggregate in presentation order: by date, then by its own keys."""
+        frame = self.tables[name].read(dates=None if dates is None else _listed(dates))
+        return frame.orderBy("execution_date", *rollups.ORDERS[name])
+
     # -- tables ------------------------------------------------------------
 
     def read_table(self, name: str, filters: dict | None = None) -> DataFrame:

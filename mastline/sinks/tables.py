@@ -124,14 +124,19 @@ class DatedTable:
         if not all(_PLAIN.fullmatch(d) for d in dates):
             return reader.parquet(self.path).where(wanted)
         try:
-            # A pattern, unlike a list of paths, may name dates that are not there.
-            pattern = f"{self.path}/{self.key}={{{','.join(dates)}}}"
-            return reader.option("basePath", self.path).parquet(pattern).where(wanted)
+            return reader.option("basePath", self.path).parquet(self._pattern(dates)).where(wanted)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return self.spark.createDataFrame([], self._schema)
             raise
 
+    def _pattern(self, dates: list[str]) -> str:
+        """Path of the dates' folders; unlike a list of paths it may name absent ones."""
+        odd = [d for d in dates if not _PLAIN.fullmatch(d)]
+        if odd:
+            raise ValueError(f"not plain date values: {odd}")
+        return f"{self.path}/{self.key}={{{','.join(dates)}}}"
+
     def counts(self, dates: list[str]) -> dict[str, int]:
         """Rows per date, from file footers alone; at most one row per date asked for."""
         stored = {}
@@ -162,7 +167,7 @@ class DatedTable:
         ones share a task.  Returns rows per date.
         """
         self.evolve(df.schema)
-        old_files = self._files(dates)
+        before = self._markers(dates)
         out = df
         if rebalance:
             columns = [F.col(self.key)]
@@ -178,10 +183,11 @@ class DatedTable:
             .partitionBy(self.key)
             .parquet(self.path)
         )
-        # Dynamic overwrite leaves a date alone when it got no rows at all: its
-        # old files are still there.
-        left = old_files & self._files(dates)
-        self._clear([d for d in dates if any(f"/{self.key}={d}/" in f for f in left)])
+        if before:
+            # Dynamic overwrite leaves a date alone when it got no rows at all:
+            # its old files are still there.
+            after = self._markers(list(before))
+            self._clear([d for d, file in before.items() if after.get(d) == file])
         return self.counts(dates)
 
     def delete(self, filters: dict) -> None:
@@ -190,16 +196,28 @@ class DatedTable:
         if schema is None:
             return
         if set(filters) == {self.key}:
-            self._clear([filters[self.key]] if self._files([filters[self.key]]) else [])
+            self._clear(list(self._markers([filters[self.key]])))
             return
         hit = all_equal(filters)
         touched = [r[0] for r in self.read().where(hit).select(self.key).distinct().collect()]
         kept = self.read(dates=touched).where(~F.coalesce(hit, F.lit(False)))
         self.replace(kept, touched)
 
-    def _files(self, dates: list[str]) -> set[str]:
-        """Data files of the dates: file names only, from the listing a read makes anyway."""
-        return set(self._partitions(dates).inputFiles())
+    def _markers(self, dates: list[str]) -> dict[str, str]:
+        """One file name per date that has data; every write gives new names."""
+        try:
+            files = (
+                self.spark.read.format("binaryFile")
+                .option("pathGlobFilter", "*.parquet")
+                .option("recursiveFileLookup", "true")
+                .load(self._pattern(dates))
+            )
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        date = F.regexp_extract("path", f"/{self.key}=([^/]+)/", 1)
+        return dict(files.groupBy(date).agg(F.min("path")).collect())
 
     def _clear(self, dates: list[str]) -> None:
         body = T.StructType([f for f in self.schema() if f.name != self.key])

@@ -51,6 +51,17 @@ def test_daily_run(engine, drop):
     assert silver.where(f"tower_id = 100 AND timestamp = {MIDNIGHT}").first().data_volume_mb == 0.25
 
 
+def test_gold_in_presentation_order(engine, drop):
+    drop(DAY, lines(towers=5) + f"7,East,{MIDNIGHT},-70.5,1\n7,West,{MIDNIGHT},-70.5,1\n")
+    drop(NEXT, lines(1, towers=1))
+    engine.run("r1", DAY, start=DAY, end=NEXT)
+    fact = [(r.execution_date, r.tower_id, r.region) for r in engine.read_gold(FACT).collect()]
+    assert fact == sorted(fact) and len(fact) == 8
+    assert [r.region for r in engine.read_gold(DAILY, DAY).collect()] == ["East", "North", "West"]
+    hourly = [(r.region, r.event_hour) for r in engine.read_gold(HOURLY, [DAY]).collect()]
+    assert hourly == [("East", 0), ("North", 0), ("West", 0)]
+
+
 def test_bronze_keeps_every_row_with_lineage(engine, drop):
     drop(DAY, lines() + f"100,North,{MIDNIGHT},-99,99\n")
     assert engine.ingest_bronze(DAY, "r1") == {DAY: 13}
