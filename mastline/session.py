@@ -38,11 +38,6 @@ def build_session(app: str = "mastline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def shuffle_partitions(total_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
-    """Initial shuffle partitions for an input size; AQE coalesces from there."""
-    return max(cores, -(-total_bytes // target_bytes))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
