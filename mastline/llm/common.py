@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What one broadcast may hold; larger sides are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 # Bytes of text worked on at once; one longer text is worked on alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # The white space of every word rule here, [\x20\x09-\x0D].
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -45,20 +48,30 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality of the named columns."""
-    on = left[names[0]].eqNullSafe(right[names[0]])
-    for n in names[1:]:
-        on = on & left[n].eqNullSafe(right[n])
-    return on
-
-
 def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` less the rows whose key is in the written table ``gone``; nulls match nulls."""
     ids = sized(gone.select(F.col(key).alias("__gone")).distinct())
     return docs.join(ids, docs[key].eqNullSafe(ids["__gone"]), "left_anti")
 
 
+def release() -> None:
+    """Hands freed memory back to the system; Python workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose worker keeps no memory after its task."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(tidy, schema)
+
+
 # ---- Arrow text as NumPy bytes ----------------------------------------------------------------
 
 
@@ -87,7 +100,7 @@ def byte_table(keep: bytes | None = None, lower: bool = False) -> np.ndarray:
     """What each byte becomes; 0 parts words.  ``keep``: the only ASCII bytes that words hold, else all but white space."""
     table = np.arange(256, dtype=np.uint8)
     if keep is None:
-        table[0] = 1  # a NUL is part of a word
+        table[0] = 9  # a NUL is part of a word; a tab never is
         table[list(SPACES)] = 0
     else:
         ascii_kept = np.zeros(128, bool)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import Rolling, Words, byte_table, sliced, utf8, without, written
+from mastline.llm.common import Rolling, Words, byte_table, mapped, sliced, utf8, without, written
 
 Q = 8
 EDIT_RATE = 0.08  # edits allowed per character of a passage
@@ -186,7 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_
                         d, i, s, e, cost = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
                         yield pa.RecordBatch.from_arrays([b.column(0).slice(first).take(d), ids.take(i), s, e, cost], ["doc_id", "item_id", "start", "end", "edits"])
 
-        parts.append(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kinds[0]}, item_id {kinds[1]}, start long, end long, edits long"))
+        parts.append(mapped(docs.select("doc_id", "text"), run, f"doc_id {kinds[0]}, item_id {kinds[1]}, start long, end long, edits long"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)

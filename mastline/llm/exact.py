@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastline.llm.common import SPACES, without, written
+from mastline.llm.common import SPACES, mapped, without, written
 
 # Counters of a task and rows of the broadcast: a digest with over 1/(k + 1) of all rows is always among them.
 COUNTERS = 1024
@@ -35,7 +35,7 @@ def digests(docs: DataFrame) -> DataFrame:
             sha = [hashlib.sha256(x.as_py().translate(None, SPACES)).digest() for x in raw]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sha, pa.binary()), points], ["doc_id", "digest", "points"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, points long")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {kind}, digest binary, points long")
 
 
 def misra_gries(counts: Counter, more: Counter, k: int) -> Counter:
@@ -60,7 +60,7 @@ def frequent(table: DataFrame, k: int = COUNTERS) -> DataFrame:
         some = list(held.items())
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["digest", "n"])
 
-    parts = table.select("digest").mapInArrow(run, "digest binary, n long")
+    parts = mapped(table.select("digest"), run, "digest binary, n long")
     return parts.groupBy("digest").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "digest").limit(k).select("digest")
 
 

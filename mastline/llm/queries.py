@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mastline.llm.decontaminate import leaks
 from mastline.llm.exact import exact_report
+from mastline.llm.langid import language_report
+from mastline.llm.licenses import license_report
 from mastline.llm.mixing import mixture
+from mastline.llm.secrets import scan
 from mastline.llm.simhash import linked_documents
+from mastline.llm.substrings import passages_report
+from mastline.llm.tokens import token_counts
 from mastline.llm.toxicity import toxicity_report
 
 
@@ -17,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_report(_table(spark, sf_dir, "documents"))
 
@@ -25,6 +34,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
@@ -37,12 +56,25 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_licenses": op4_licenses,
+    "op5_tokens": op5_tokens,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
+    "op9_secrets": op9_secrets,
+    "op10_passages": op10_passages,
 }
 
 _OP2 = r"""

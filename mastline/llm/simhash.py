@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import mixed, sized, without, written
+from mastline.llm.common import mapped, mixed, sized, without, written
 from mastline.llm.components import components
 
 SEED = 42
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1) -> DataFrame
             fp = pa.array([fingerprint(t.as_py(), shingle, words) for t in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary")
 
 
 def bit_groups(bits: int, groups: int) -> list[tuple[int, int]]:
@@ -133,7 +133,7 @@ def links(reps: DataFrame, bits: int, radius: int, groups: int) -> DataFrame:
                 node = np.repeat(np.arange(b.num_rows), len(cuts))
                 yield pa.RecordBatch.from_arrays([pa.array(cell.ravel()), b.column(0).take(pa.array(node)), b.column(1).take(pa.array(node))], ["cell", "node", "fp"])
 
-    placed = reps.select("node", "fp").mapInArrow(place, "cell long, node long, fp binary")
+    placed = mapped(reps.select("node", "fp"), place, "cell long, node long, fp binary")
     # As many rows as the grid has cells at most: groups * 3^(bits of a group / 2).
     full = written(placed.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL_ROWS), "cells")
     if full.isEmpty():
@@ -154,7 +154,7 @@ def links(reps: DataFrame, bits: int, radius: int, groups: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(node[e[:, 0]]), pa.array(node[e[:, 1]])], ["a", "b"])
 
     key = ["cell", "i", "j"]
-    return blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long")
+    return mapped(blocks.repartition(*key).sortWithinPartitions(*key), compare, "a long, b long")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:

@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import Rolling, Words, byte_table, sliced, utf8, without, written
+from mastline.llm.common import Rolling, Words, byte_table, mapped, release, sliced, utf8, without, written
 
-SAMPLE_ROWS = 12_000  # labelled rows that are fitted, those with the smallest hashes
+SAMPLE_ROWS = 8_000  # labelled rows that are fitted, those with the smallest hashes
 SAMPLE_WORDS = 20_000  # longer texts are scored but not fitted
 KNOWN_WORDS = 1 << 16  # embeddings
 WIDTHS = (1, 2, 3)
@@ -113,7 +113,7 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, langs: np.ndarray, names:
     votes -= np.log(np.array([(langs[first] == k).sum() for k in range(names)]) + 0.5)
     votes[0] = 0
 
-    lines = [np.concatenate([known(table, t), np.zeros(_PAD, np.int64)]) for t in texts]
+    lines = [np.concatenate([known(table, t), np.zeros(_PAD, np.int64)]).astype(np.int32) for t in texts]
     filters = [rng.normal(0, 0.1, (w, DIM, FILTERS)) for w in WIDTHS]
     for f in filters:
         f[:, 0, : FILTERS // 2] += 1.0  # half the filters start from the first estimates
@@ -206,14 +206,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
 
     lang = F.coalesce("lang", F.lit("")) if "lang" in docs.columns else F.lit("")
     sample = docs.join(chosen, docs["doc_id"] == chosen["__id"]).select(F.col("doc_id").cast("string"), "text", "__toxic", lang.alias("lang"))
-    sample = sample.where(F.length("text") <= 8 * SAMPLE_WORDS).mapInArrow(run, "id string, h binary, toxic int, lang string")
+    sample = mapped(sample.where(F.length("text") <= 8 * SAMPLE_WORDS), run, "id string, h binary, toxic int, lang string")
     got = sample.toArrow().sort_by([("id", "ascending"), ("toxic", "ascending"), ("h", "ascending")]).to_pydict()
     toxic = np.array(got["toxic"], np.float64)
     if not 0 < toxic.sum() < len(toxic):
         return None
     names = sorted(set(got["lang"]))
     langs = np.array([names.index(x) for x in got["lang"]])
-    return train([np.frombuffer(x, np.uint64) for x in got["h"]], toxic, langs, len(names))
+    model = train([np.frombuffer(x, np.uint64) for x in got["h"]], toxic, langs, len(names))
+    del got, sample
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -230,7 +233,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 s[first:last] = sent.value.scores(data, bounds)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double, predicted int")
 
 
 def held_out() -> F.Column:
