@@ -263,11 +263,12 @@ def fit(docs: DataFrame, order: int = ORDER, ngrams: int = MODEL_NGRAMS) -> Mode
 
 def _limits(rows: DataFrame, model: Model) -> np.ndarray:
     """Per language the cross-entropy that few of its calibration texts pass."""
-    order = F.xxhash64("doc_id")
-    parts = None
-    for lang in model.langs:
-        part = rows.where(F.col("lang") == lang).orderBy(order, "doc_id").limit(CALIBRATION_ROWS).select("text", "lang")
-        parts = part if parts is None else parts.union(part)
+    ids, chosen = rows.where("doc_id is not null").select("doc_id", "lang"), None
+    for lang in model.langs:  # only ids are ordered; the texts stay where they are
+        part = ids.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+        chosen = part if chosen is None else chosen.union(part)
+    chosen = F.broadcast(chosen.distinct())  # CALIBRATION_ROWS per language
+    parts = rows.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang")
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
