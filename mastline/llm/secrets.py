@@ -57,7 +57,9 @@ def ratios(counts: np.ndarray) -> np.ndarray:
     random, ordinary = counts
     weight = 50.0 * n
     p = (random + weight / n) / (random.sum(1, keepdims=True) + weight)
-    q = (ordinary + 0.5) / (ordinary.sum(1, keepdims=True) + 0.5 * n)
+    # The ordinary model falls back to how often each character follows any other.
+    single = (ordinary.sum(0) + 0.5) / (ordinary.sum() + 0.5 * n)
+    q = (ordinary + 5 * single) / (ordinary.sum(1, keepdims=True) + 5)
     return np.log(p) - np.log(q)
 
 
