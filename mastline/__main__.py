@@ -21,9 +21,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     date = args.date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
-    run_id = args.run_id or f"manual__{datetime.now(timezone.utc).isoformat()}"
+    run_id = args.run_id or f"manual__{datetime.now(timezone.utc):%Y%m%dT%H%M%S}"
     engine = Engine(build_session(), args.source, args.base, tz=args.tz, strict=args.strict)
-    engine.run(run_id, date, args.start, args.end).orderBy("execution_date", "table_name").show(1000, truncate=False)
+    rows = engine.run(run_id, date, args.start, args.end).orderBy("execution_date", "table_name")
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":

@@ -6,16 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Readings are summed as whole millionths where they are exact to six decimals.
-_GRID = 1e6
-_GRID_LIMIT = 1e15
-# What double arithmetic may have left on such a value: a share of it, and for
-# values that came out of a subtraction an absolute 1e-12.
-_GRID_NOISE = 1e-15
-_GRID_RESIDUE = 1e-6
-
-# Number spellings.  The digit count keeps all but the largest inside a bigint.
-_WHOLE = r"^\s*[+-]?\d{1,19}\s*$"
+# Readings are summed as decimals of twelve places; what doubles leave beyond is noise.
+_PLACES = "decimal(25,12)"
+_LIMIT = 1e13
+
+# Number spellings.
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_WHOLE_LONG = r"^\s*[+-]?\d{19}\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _INFINITE = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
@@ -25,7 +22,8 @@ def nan_to_null(c: Column) -> Column:
 
 
 def is_whole_text(c: Column) -> Column:
-    return F.rlike(c, F.lit(_WHOLE))
+    """Whole-number text that a bigint holds; of 19 digits only some do."""
+    return F.rlike(c, F.lit(_WHOLE)) | (F.rlike(c, F.lit(_WHOLE_LONG)) & c.try_cast("bigint").isNotNull())
 
 
 def is_number_text(c: Column) -> Column:
@@ -77,10 +75,9 @@ class StableSum:
     """Sum and mean that do not depend on row order.
 
     Double addition gives a different last bit for each order of rows, which
-    flips rounding ties from one run to the next.  Values that are whole
-    millionths are therefore added as 64-bit integers, which stay inside
-    whole-stage code and are exact.  A group that holds any other value
-    (more decimals, huge or infinite), or whose integer sum would overflow,
+    flips rounding ties from one run to the next.  Every finite value below 1e13
+    is therefore added as a decimal of twelve places, whatever its own places and
+    however many rows there are.  Only a group with an infinite or larger value
     uses the plain double sum.
     """
 
@@ -89,17 +86,14 @@ class StableSum:
         self._units = f"__{name}_units"
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Add the integer form of the column (NULL when it has none)."""
-        y = F.col(self.name) * _GRID
-        on_grid = (F.abs(y) < _GRID_LIMIT) & (
-            F.abs(y - F.rint(y)) <= F.greatest(F.abs(y) * _GRID_NOISE, F.lit(_GRID_RESIDUE))
-        )
-        return df.withColumn(self._units, F.when(on_grid, F.rint(y).cast("bigint")))
+        """Add the decimal form of the column (NULL when it has none)."""
+        x = F.col(self.name)
+        return df.withColumn(self._units, F.when(F.abs(x) < _LIMIT, x.try_cast(_PLACES)))
 
     def sum(self) -> Column:
         """NULL-skipping sum; NULL for a group without values."""
         whole = F.count(self._units) == F.count(self.name)
-        exact = F.try_sum(self._units).cast("double") / _GRID
+        exact = F.sum(self._units).cast("double")
         return nan_to_null(F.coalesce(F.when(whole, exact), F.sum(self.name)))
 
     def mean(self) -> Column:

@@ -62,7 +62,9 @@ def clean_readings(
     after coercion and before de-duplication, so a row that loses its key does
     not shadow a good one.
     """
-    typed = type_readings(df, strict).dropna(subset=NATURAL_KEY)
+    typed = type_readings(df, strict)
+    for key in NATURAL_KEY:  # unlike dropna, these reach the Parquet scan
+        typed = typed.where(F.col(key).isNotNull())
     # Time columns are derived after the shuffle: they are functions of the key.
     if order is None:
         order = ["_row_seq.part", "_row_seq.block", "_row_seq.row"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mastline.constants import ERROR_TEXT_LIMIT, RUNNING, TRACKED_TABLES
+from mastline.constants import RUNNING, TRACKED_TABLES
 from mastline.functions.clock import file_name_of
 
 LEDGER_KEY = ["run_id", "table_name", "execution_date"]
@@ -75,7 +75,7 @@ def status_events(
         seq.cast("bigint").alias("seq"),
         at.alias("event_at"),
         F.lit(status).alias("status"),
-        F.left(none.cast("string") if error is None else error, F.lit(ERROR_TEXT_LIMIT)).alias("error_message"),
+        (none.cast("string") if error is None else error).alias("error_message"),
         (none if records is None else records).cast("bigint").alias("records_processed"),
         "run_id",
     )

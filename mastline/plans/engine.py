@@ -13,6 +13,7 @@ from mastline.constants import (
     BRONZE,
     DAILY,
     DQ_LOG,
+    ERROR_TEXT_LIMIT,
     FACT,
     FAIL,
     HOURLY,
@@ -26,7 +27,7 @@ from mastline.constants import (
 )
 from mastline.functions.clock import utc_now
 from mastline.operators import checks, clean, kinds, rollups
-from mastline.session import small_frame
+from mastline.session import size_shuffles, small_frame
 from mastline.sinks.ledger import RunLedger
 from mastline.sinks.tables import DatedTable
 from mastline.sources import calendar, drops
@@ -226,12 +227,13 @@ class Engine:
     def _run(self, run_id: str, spine: DataFrame) -> DataFrame:
         self.ledger.open(run_id, spine)
         found, lacking = drops.availability(self.spark, spine, self.source)
-        note = f"No source file for date(s): {lacking}"
+        if lacking:
+            # Each row names its own date, so the text does not grow with the range.
+            notes = [(t, d, SKIPPED, f"No source file for date(s): {[d]}", None) for d in lacking for t in TRACKED_TABLES]
+            self.ledger.record(run_id, notes)
         if not found:
-            self.ledger.update_all_running(run_id, SKIPPED, note)
             return self.ledger.state(run_id)
-        if lacking:
-            self.ledger.record(run_id, [(t, d, SKIPPED, note, None) for d in lacking for t in TRACKED_TABLES])
+        size_shuffles(self.spark, sum(d.bytes for d in found))
 
         dates = [d.execution_date for d in found]
         heads = drops.headers(self.spark, found)
@@ -247,7 +249,8 @@ class Engine:
         try:
             counts = work()
         except Exception as error:
-            self.ledger.record(run_id, [(t, d, FAIL, str(error), None) for t in names for d in dates])
+            text = str(error)[:ERROR_TEXT_LIMIT]
+            self.ledger.record(run_id, [(t, d, FAIL, text, None) for t in names for d in dates])
             raise
         rows = [(t, d, SUCCESS, None, n) for t, per_date in counts.items() for d, n in per_date.items()]
         if rows:

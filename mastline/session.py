@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Sizes are per shuffle partition / per scan split: they bound what one task
-# holds, whatever the total input.
+# Sizes per scan split and per merged shuffle partition.  Adaptive execution only
+# merges shuffle partitions; size_shuffles sets how many there are to begin with.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -38,13 +39,30 @@ def build_session(app: str = "mastline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Make shuffles wide enough for an input of this size; results do not depend on it.
+
+    Rows take up to some four times their CSV bytes in a shuffle, and a partition
+    should hold no more than the advisory size.  Narrower than the session's own
+    setting it never gets; adaptive execution merges what is too small.
+    """
+    said = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").lower())
+    advisory = int(said[1]) << (10 * " kmgt".index(said[2] or " "))
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-4 * input_bytes // advisory))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wide))
+    return wide
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where the session names no such folder (single-machine use) is one made.
+    On a local master that names no such folder one is made; elsewhere that is an
+    error, since executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="mastline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastline.constants import ERROR_TEXT_LIMIT, RUNNING
+from mastline.constants import RUNNING
 from mastline.functions.clock import utc_now
 from mastline.operators import ledger as fold
 from mastline.schemas import LEDGER_EVENT_SCHEMA
@@ -47,8 +47,7 @@ class RunLedger:
     def _record(self, run_id: str, rows: list[tuple], file: str | None = None) -> None:
         seq, at = self._tick()
         shape = "table_name string, execution_date string, status string, error string, records bigint"
-        cut = [(t, d, s, e[:ERROR_TEXT_LIMIT] if e else None, n) for t, d, s, e, n in rows]
-        events = small_frame(self.spark, cut, shape).select(
+        events = small_frame(self.spark, rows, shape).select(
             "table_name",
             "execution_date",
             F.lit(file).cast("string").alias("file_name"),

@@ -199,7 +199,7 @@ class DatedTable:
             self._clear(list(self._markers([filters[self.key]])))
             return
         hit = all_equal(filters)
-        touched = [r[0] for r in self.read().where(hit).select(self.key).distinct().collect()]
+        touched = [r[0] for r in self.read(filters).select(self.key).distinct().collect()]
         kept = self.read(dates=touched).where(~F.coalesce(hit, F.lit(False)))
         self.replace(kept, touched)
 

@@ -19,6 +19,7 @@ _STAMP_LENGTH = 8 + len(FILE_SUFFIX)
 
 # Raw text of a row whose field count differs from its header's.
 _MALFORMED = "__malformed"
+_END = "\u0001end"
 
 # What a scan adds to the source columns.
 _SCAN_TAIL = T.StructType(
@@ -39,9 +40,24 @@ class Drop:
     bytes: int
 
 
+def dated_root(path: Column) -> Column:
+    """The file or folder named for a date that a path is or lies in; empty if there is none."""
+    return F.regexp_extract(path, rf"^(.*{FILE_PREFIX}\d{{8}}\{FILE_SUFFIX})(/|$)", 1)
+
+
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per date that has a source, without reading any content."""
-    empty = "execution_date string, path string, bytes bigint"
+    """One row per date that has a source, without reading any content.
+
+    A date with two sources stops the query: neither is chosen over the other.
+    """
+    two = F.concat(F.lit("two sources for "), F.col("execution_date"), F.lit(": "), F.concat_ws(", ", "roots"))
+    one = F.when(F.size("roots") > 1, F.raise_error(two)).otherwise(F.element_at("roots", 1))
+    return _sources(spark, folder).select("execution_date", one.alias("path"), "bytes")
+
+
+def _sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Each date's sources, sorted, and their bytes."""
+    empty = "execution_date string, roots array<string>, bytes bigint"
     try:
         files = (
             spark.read.format("binaryFile")
@@ -53,13 +69,13 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], empty)
         raise
-    root = F.regexp_extract("path", rf"^(.*{FILE_PREFIX}\d{{8}}\{FILE_SUFFIX})(/|$)", 1)
+    root = dated_root(F.col("path"))
     date = clock.date_in_path(F.col("root"))
     return (
         files.select("path", "length", root.alias("root"))
         .where((F.col("root") != "") & F.try_to_date(date, "yyyy-MM-dd").isNotNull())
         .groupBy(date.alias("execution_date"))
-        .agg(F.min("root").alias("path"), F.sum("length").alias("bytes"))
+        .agg(F.sort_array(F.collect_set("root")).alias("roots"), F.sum("length").alias("bytes"))
     )
 
 
@@ -75,12 +91,16 @@ def missing(spine: DataFrame, arrivals: DataFrame) -> DataFrame:
 
 def availability(spark: SparkSession, spine: DataFrame, folder: str) -> tuple[list[Drop], list[str]]:
     """Found drops and missing dates; one row per requested date comes to the driver."""
-    rows = spine.join(manifest(spark, folder), "execution_date", "left").orderBy("execution_date").collect()
+    rows = spine.join(_sources(spark, folder), "execution_date", "left").orderBy("execution_date").collect()
+    twice = {r.execution_date: r.roots for r in rows if r.roots and len(r.roots) > 1}
+    if twice:
+        raise ValueError(f"Two sources for one date: {twice}")
     found, lacking = [], []
     for r in rows:
-        path = r.path or f"{folder.rstrip('/')}/{clock.file_name(r.execution_date)}"
+        root = r.roots[0] if r.roots else None
+        path = root or f"{folder.rstrip('/')}/{clock.file_name(r.execution_date)}"
         # Spark's file listings leave out files of zero bytes; those have arrived too.
-        if r.path or _exists(spark, path):
+        if root or _exists(spark, path):
             found.append(Drop(r.execution_date, path, r.bytes or 0))
         else:
             lacking.append(r.execution_date)
@@ -166,9 +186,13 @@ def _scan_group(spark: SparkSession, head: tuple[str, ...], paths: list[str]) ->
 
 def _has_surplus(width: int) -> Column:
     """Whether a row has more fields than its header; a shorter row is only padded."""
-    wider = ", ".join(f"c{i} string" for i in range(width + 1))
-    fields = F.from_csv(F.col(_MALFORMED), wider, {"escape": '"'})
-    return F.col(_MALFORMED).isNotNull() & fields[f"c{width}"].isNotNull()
+    columns = [f"c{i}" for i in range(width)]
+    # A mark after the last field lies within the header's width only if the row is shorter;
+    # empty surplus fields read as NULL, so they can't be told by their values.
+    marked = F.concat(F.col(_MALFORMED), F.lit("," + _END))
+    fields = F.from_csv(marked, ", ".join(f"{c} string" for c in columns), {"escape": '"'})
+    shorter = F.exists(F.array(*[fields[c] for c in columns]), lambda x: x.eqNullSafe(F.lit(_END)))
+    return F.col(_MALFORMED).isNotNull() & ~shorter
 
 
 def _surplus_text() -> Column:

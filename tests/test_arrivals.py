@@ -35,3 +35,15 @@ def test_command_line(spark, tmp_path, capsys):
     write_csv(tmp_path / "in", DAY, one_reading(1.5))
     main(["--source", str(tmp_path / "in"), "--base", str(tmp_path / "lake"), "--start", DAY, "--end", DAY, "--run-id", "cli"])
     assert capsys.readouterr().out.count("success") == 5
+
+
+def test_part_files_and_nested_files_arrive(spark, tmp_path):
+    source = tmp_path / "in"
+    folder = source / f"network_metrics_{DAY.replace('-', '')}.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-0.csv").write_text(one_reading(1.5))
+    (source / "late").mkdir()
+    write_csv(source / "late", "2025-07-24", one_reading(2.5))
+    engine = Engine(spark, str(source), str(tmp_path / "lake"))
+    follow(engine, str(tmp_path / "checkpoint")).awaitTermination(300)
+    assert {r.execution_date: r.total_data_volume_mb for r in engine.read_table(DAILY).collect()} == {DAY: 1.5, "2025-07-24": 2.5}

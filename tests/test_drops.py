@@ -138,3 +138,22 @@ def test_a_later_file_header_change_is_not_bound_by_position(spark, tmp_path):
     swapped = [REQUIRED_COLUMNS[1], REQUIRED_COLUMNS[0], *REQUIRED_COLUMNS[2:]]
     with pytest.raises(Exception, match="(?i)header"):
         drops.scan(spark, found, {DAY: swapped}).collect()
+
+
+def test_two_sources_of_a_date_are_refused(spark, tmp_path):
+    write_csv(tmp_path, DAY, f"{HEAD}\n{LINE}\n")
+    (tmp_path / "late").mkdir()
+    write_csv(tmp_path / "late", DAY, f"{HEAD}\n{LINE}\n")
+    spine = spark.createDataFrame([(DAY,)], "execution_date string")
+    with pytest.raises(ValueError, match="Two sources for one date.*late"):
+        drops.availability(spark, spine, str(tmp_path))
+    with pytest.raises(Exception, match="two sources for"):
+        drops.manifest(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("tail", [",", ",,", ',""'])
+def test_empty_surplus_field_is_surplus(spark, tmp_path, tail):
+    write_csv(tmp_path, DAY, f"{HEAD}\n{LINE}\n{LINE}{tail}\n")
+    found = [drops.Drop(r.execution_date, r.path, r.bytes) for r in drops.manifest(spark, str(tmp_path)).collect()]
+    with pytest.raises(Exception, match="more fields than its header"):
+        drops.scan(spark, found, drops.headers(spark, found)).collect()

@@ -102,3 +102,38 @@ def test_sum_survives_integer_overflow_and_infinities(spark):
 
 def test_sum_and_mean_of_nothing(spark):
     assert stable(spark, [None, None]) == (None, None)
+
+
+def test_sum_of_fine_decimals_does_not_depend_on_order(spark):
+    import random
+
+    rng = random.Random(5)
+    values = [rng.randrange(-12_000, 50_000) / 100 for _ in range(2000)] + [0.12345678, 2e9]
+    seen = set()
+    for k in range(4):
+        rng.shuffle(values)
+        total = StableSum("v")
+        df = total.prepare(spark.createDataFrame([(v,) for v in values], "v double").repartition(3 + k))
+        seen.add(df.agg(total.sum().alias("s")).first().s)
+    assert len(seen) == 1
+
+
+def test_whole_text_must_fit_a_bigint(spark):
+    from mastline.functions.numeric import is_whole_text
+    from pyspark.sql import functions as F
+
+    rows = ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "12"]
+    df = spark.createDataFrame([(x,) for x in rows], "x string")
+    assert [r[0] for r in df.select(is_whole_text(F.col("x"))).collect()] == [True, False, True, True]
+
+
+def test_shuffles_widen_with_the_input(spark):
+    from mastline.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 10) == 4
+        assert size_shuffles(spark, 1 << 40) == 16384
+        assert spark.conf.get(key) == "16384"
+    finally:
+        spark.conf.unset(key)
