@@ -89,10 +89,9 @@ def labelled_strings(docs: DataFrame) -> DataFrame:
             good: dict = {}
             bad: dict = {}
             for t in b.column(0):
-                text = t.as_py() or ""
-                spans = base_spans(text)
-                for s, e, kind in spans:
-                    value = _ASSIGN.match(text, s, e)[2] if kind == "assign" else text[s:e]
+                text = whole = t.as_py() or ""
+                for s, e, kind in base_spans(whole):  # kinds may overlap: a run of hex digits may end in the a of api_key
+                    value = _ASSIGN.match(whole, s, e)[2] if kind == "assign" else whole[s:e]
                     good[value] = None
                     text = text[:s] + " " * (e - s) + text[e:]
                 for w in text.split():
