@@ -4,8 +4,9 @@ Every window of ``window`` words is the path from the root of a suffix tree down
 depth; a deep node with two or more suffixes below it is a repeat.  Suffixes are parted by a
 prefix that a window itself decides, its anchor: the word 5-gram with the smallest hash
 inside.  Equal windows have equal anchors, so each group holds whole nodes.
-Groups that would not fit one task's memory get longer prefixes: first a salt, then the
-whole window.
+Groups that would not fit one task's memory are split: frequent anchors are spread over as many
+salts as they need, and any group is worked on in pieces.  The first windows of the pieces
+are then compared by the whole window as their prefix.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastline.llm.common import Rolling, Words, byte_table, mapped, mixed, signed, sliced, utf8, written
@@ -22,9 +23,9 @@ from mastline.llm.common import Rolling, Words, byte_table, mapped, mixed, signe
 WINDOW = 20
 GRAM = 5
 COUNTERS = 8192  # per task, to find anchors with very many suffixes
-LONG_GROUP = 50_000  # rows of an anchor beyond which it gets longer prefixes
-LONG_GROUPS = 65_536  # anchors that are broadcast as such
-SALTS = 256
+LONG_GROUP = 50_000  # rows of an anchor beyond which it is salted, and rows of a group that are held at once
+LONG_GROUPS = 65_536  # anchors that are broadcast as such; others with very many rows are only worked on in pieces
+_SALT_BITS = 20  # of a salted anchor, in place of its lowest ones
 _TABLE = byte_table()
 _HASH_BYTES = 6  # of a window, beside the 8 of its anchor
 
@@ -57,8 +58,13 @@ def anchored(data: np.ndarray, bounds: np.ndarray, window: int, gram: int):
     return low[head], doc[head], (at - words.first[doc])[head], np.diff(np.append(head, len(at))), whole
 
 
+def unsalted(anchor: np.ndarray) -> np.ndarray:
+    """The bits of anchors that a salt leaves as they are."""
+    return anchor >> np.uint64(_SALT_BITS) << np.uint64(_SALT_BITS)
+
+
 def crowded(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Anchors with more than LONG_GROUP rows, from Misra-Gries counters of each task over all rows."""
+    """(a, n): anchors with more than LONG_GROUP rows, from Misra-Gries counters of each task over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -86,11 +92,14 @@ def crowded(docs: DataFrame, window: int, gram: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(signed(key[keep])), pa.array(count[keep])], ["a", "n"])
 
     found = mapped(docs.where("doc_id is not null").select("text"), run, "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
-    return found.where(F.col("n") > LONG_GROUP).orderBy(F.desc("n"), "a").limit(LONG_GROUPS).select("a")
+    return found.where(F.col("n") > LONG_GROUP).orderBy(F.desc("n"), "a").limit(LONG_GROUPS)
 
 
-def suffixes(docs: DataFrame, long: np.ndarray, window: int, gram: int) -> DataFrame:
-    """(a, doc, start, wins): runs of windows by anchor; those of long groups are salted and have start < 0."""
+def suffixes(docs: DataFrame, long: np.ndarray, salts: np.ndarray, window: int, gram: int) -> DataFrame:
+    """(a, doc, start, wins): runs of windows by anchor; those of long groups are salted and have start < 0.
+
+    ``long`` holds the anchors of long groups in order, ``salts`` how many parts each gets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -103,8 +112,8 @@ def suffixes(docs: DataFrame, long: np.ndarray, window: int, gram: int) -> DataF
                 if len(long):
                     at = np.minimum(np.searchsorted(long, low), len(long) - 1)
                     hot = long[at] == low
-                    salt = mixed(doc.astype(np.uint64)) % np.uint64(SALTS) + np.uint64(1)
-                    low = np.where(hot, mixed(low + salt), low)
+                    salt = mixed(doc.astype(np.uint64)) % salts[at]
+                    low = np.where(hot, unsalted(low) | salt, low)
                     start = np.where(hot, -start - 1, start)
                 packed = np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8)[:, 8 - _HASH_BYTES :])
                 offsets = np.append(0, np.cumsum(many) * _HASH_BYTES).astype(np.int32)
@@ -117,35 +126,44 @@ def suffixes(docs: DataFrame, long: np.ndarray, window: int, gram: int) -> DataF
 def repeats(rows: DataFrame, window: int) -> DataFrame:
     """(node, doc, start, end): stretches of words that earlier windows of their group cover.
 
-    For salted groups also the first windows of each group, with their node: the salts'
-    firsts are compared once more.
+    For salted groups, and for those worked on in pieces, also the first windows of each
+    part, with their node and end -1: the parts' firsts are compared once more.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        key = None
+        held: list[pa.RecordBatch] = []  # rows of the last group so far
+        key, size, pieces = None, 0, False
         for b in batches:
             if not b.num_rows:
                 continue
             a = b.column(0).to_numpy()
-            other = np.flatnonzero(a != a[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0  # the last group may go on in the next batch
-            if held and (cut or key != a[-1]):
-                yield _marks([*held, b.slice(0, cut)], window)
-                held = []
-            elif cut:
-                yield _marks([b.slice(0, cut)], window)
-            held.append(b.slice(cut))
-            key = a[-1]
+            if held and a[0] != key:
+                yield _marks(held, window, pieces)
+                held, size, pieces = [], 0, False
+            ends = np.append(np.flatnonzero(a[1:] != a[:-1]) + 1, len(a))
+            if pieces and len(ends) > 1:  # the rest of a group in pieces apart from whole groups
+                yield _marks([*held, b.slice(0, ends[0])], window, True)
+                held, size, pieces = [], 0, False
+                b, a = b.slice(ends[0]), a[ends[0] :]
+                ends = ends[1:] - ends[0]
+            if len(ends) > 1:
+                yield _marks([*held, b.slice(0, ends[-2])], window, False)
+                held, size, pieces = [], 0, False
+                b = b.slice(ends[-2])
+            held.append(b)
+            key, size = a[-1], size + b.num_rows
+            if size > LONG_GROUP:
+                yield _marks(held, window, True)
+                held, size, pieces = [], 0, True
         if held:
-            yield _marks(held, window)
+            yield _marks(held, window, pieces)
 
     parts = rows.repartition("a").sortWithinPartitions("a", "doc", F.abs("start"))
     return mapped(parts, run, "node long, doc long, start int, end int")
 
 
-def _marks(batches: list[pa.RecordBatch], window: int) -> pa.RecordBatch:
-    """Repeats within whole groups, rows in order of (group, document, start)."""
+def _marks(batches: list[pa.RecordBatch], window: int, piece: bool) -> pa.RecordBatch:
+    """Repeats within whole groups or a piece of one, rows in order of (group, document, start)."""
     t = pa.Table.from_batches(batches).combine_chunks()
     a, doc, start = (t.column(i).to_numpy() for i in range(3))
     wins = t.column(3).combine_chunks()
@@ -175,8 +193,9 @@ def _marks(batches: list[pa.RecordBatch], window: int) -> pa.RecordBatch:
     end = repeat.copy()
     end[:-1] &= ~(repeat[1:] & (row[1:] == row[:-1]))
     s, e = np.flatnonzero(begin), np.flatnonzero(end)
-    again = np.flatnonzero(~repeat & hot[row])  # the salt is not part of a window's name
-    name = np.concatenate([np.zeros(len(s), np.int64), signed(mixed(full.view(np.uint64).ravel()[again]))])
+    again = np.flatnonzero(~repeat & (hot[row] | piece))  # the salt is not part of a window's name
+    anchor = mixed(unsalted(a.view(np.uint64)))[row[again]]
+    name = np.concatenate([np.zeros(len(s), np.int64), signed(mixed(full.view(np.uint64).ravel()[again] ^ anchor))])
     docs = np.concatenate([doc[row[s]], doc[row[again]]])
     starts = np.concatenate([at[s], at[again]])
     ends = np.concatenate([at[e] + window, np.full(len(again), -1)])
@@ -186,16 +205,18 @@ def _marks(batches: list[pa.RecordBatch], window: int) -> pa.RecordBatch:
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc, start, end): word stretches of documents that windows with an earlier copy cover; they may overlap.
 
-    Windows are compared by hashes of their words: 64 bits of the anchor and 48 of the window.
+    Windows are compared by hashes of their words: 64 bits of the anchor (44 if its group is
+    split) and 48 of the window.
     """
-    long = np.sort(np.array([r[0] for r in crowded(docs, window, gram).collect()], np.int64).view(np.uint64))  # LONG_GROUPS at most
-    marks = repeats(suffixes(docs, long, window, gram), window)
-    if not len(long):
-        return marks.select("doc", "start", "end")
-    marks = written(marks, "marks")
-    same = Window.partitionBy("node")  # one row per salt at most and document row
-    firsts = marks.where("end < 0").withColumn("lead", F.min(F.struct("doc", "start")).over(same))
-    later = firsts.where("lead.doc != doc or lead.start != start").select("doc", "start", (F.col("start") + window).alias("end"))
+    found = crowded(docs, window, gram).toArrow()  # LONG_GROUPS rows at most
+    order = np.argsort(found.column("a").to_numpy().view(np.uint64))
+    long = found.column("a").to_numpy().view(np.uint64)[order]
+    salts = np.clip(found.column("n").to_numpy()[order] * 4 // LONG_GROUP, 1, 1 << _SALT_BITS).astype(np.uint64)
+    marks = written(repeats(suffixes(docs, long, salts, window, gram), window), "marks")
+    firsts = marks.where("end < 0")
+    # A window of a split group has one first per part; parts of them are compared map-side.
+    lead = firsts.groupBy("node").agg(F.min(F.struct("doc", "start")).alias("lead"))
+    later = firsts.join(lead, "node").where("lead.doc != doc or lead.start != start").select("doc", "start", (F.col("start") + window).alias("end"))
     return marks.where("end >= 0").select("doc", "start", "end").union(later)
 
 

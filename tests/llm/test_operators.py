@@ -140,6 +140,16 @@ def test_long_groups_change_nothing(docs, mixed_texts, monkeypatch):
     assert by_id(substrings.passages_report(docs(mixed_texts)), "n_removed", "kept_sha256") == plain
 
 
+def test_salted_and_split_groups_find_the_same(docs, mixed_texts, monkeypatch):
+    common = "this line of boiler plate text stands in a very large share of all the documents that we have ever had to read"
+    rows = [(i, f"{common} {i % 7} and {t}") for i, (_, t) in enumerate(mixed_texts * 3) if t]
+    plain = by_id(substrings.passages_report(docs(rows)), "n_removed", "kept_sha256")
+    for size, anchors in ((3, 4), (3, 0), (40, 0)):
+        monkeypatch.setattr(substrings, "LONG_GROUP", size)
+        monkeypatch.setattr(substrings, "LONG_GROUPS", anchors)
+        assert by_id(substrings.passages_report(docs(rows)), "n_removed", "kept_sha256") == plain
+
+
 def test_leaks(spark, docs):
     items = [(k, prose(30, 900 + k)) for k in range(10)] + [(10, "abc"), (11, None), (12, "")]
     edited = items[2][1][:40] + "X" + items[2][1][42:]
@@ -222,6 +232,12 @@ def test_secrets(docs):
     assert got[4] == (0, 0, 0, "", 0) and got[5][4] == 1 and got[6] == (0, 0, 0, "", 0)
 
 
+def test_kinds_of_secrets_may_overlap(docs):
+    text = "0123456789abcdef" * 2 + "api_key=abcdefgh12"
+    (row,) = secrets.scan(docs([(1, text)])).collect()
+    assert (row["n_assign"], row["n_hex"], row["spans"]) == (1, 1, "hex:0:33,assign:32:50")
+
+
 def test_languages(docs):
     rng = random.Random(9)
     parts = {"aa": ["lo", "mi", "ra", "te"], "bb": ["xu", "kza", "wo", "qe"], "cc": ["éa", "ñu", "lo", "ço"]}
