@@ -21,8 +21,8 @@ from mastline.llm.common import mapped, written
 
 ORDER = 4
 MODEL_NGRAMS = 400_000  # n-grams of the highest order in the model, the most frequent ones; rarer ones fall back
-CALIBRATION_ROWS = 2_000  # training texts per language that set its rejection limit, those with the smallest hashes
 REJECT_SHARE = 0.002
+STEPS, MOST_NATS = 200, 40  # histogram of calibration: steps a nat, and the nats beyond which all share one step
 SLICE_CHARS = 1 << 17
 UNKNOWN = "und"
 _BITS = 12  # of a character's code; higher code points share codes
@@ -262,28 +262,36 @@ def fit(docs: DataFrame, order: int = ORDER, ngrams: int = MODEL_NGRAMS) -> Mode
 
 
 def _limits(rows: DataFrame, model: Model) -> np.ndarray:
-    """Per language the cross-entropy that few of its calibration texts pass."""
-    ids, chosen = rows.where("doc_id is not null").select("doc_id", "lang"), None
-    for lang in model.langs:  # only ids are ordered; the texts stay where they are
-        part = ids.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-        chosen = part if chosen is None else chosen.union(part)
-    chosen = F.broadcast(chosen.distinct())  # CALIBRATION_ROWS per language
-    parts = rows.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang")
+    """Per language the cross-entropy that REJECT_SHARE of its training texts pass, from a histogram of all of them."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {x: i for i, x in enumerate(sent.value.langs)}
+        counts = np.zeros((len(index), MOST_NATS * STEPS + 1), np.int64)
         for b in batches:
             at = 0
             for texts in _chunks(b.column(0)):
-                h, _ = sent.value.entropies(texts)
-                langs = b.column(1).slice(at, len(texts))
+                h, known = sent.value.entropies(texts)
+                lang = np.array([index.get(x, -1) for x in b.column(1).slice(at, len(texts)).to_pylist()])
                 at += len(texts)
-                own = h[np.arange(len(texts)), [sent.value.langs.index(x) for x in langs.to_pylist()]]
-                yield pa.RecordBatch.from_arrays([langs, pa.array(own.astype(np.float64))], ["lang", "h"])
-
-    found = mapped(parts, run, "lang string, h double").groupBy("lang").agg(F.percentile("h", 1 - REJECT_SHARE)).collect()
-    limit = dict(map(tuple, found))
-    return np.array([limit.get(x, np.inf) * 1.05 for x in model.langs])
+                here = np.flatnonzero(known & (lang >= 0))  # texts without letters tell nothing
+                step = np.minimum(np.ceil(h[here, lang[here]] * STEPS), MOST_NATS * STEPS)
+                np.add.at(counts, (lang[here], step.astype(np.int64)), 1)
+        i, step = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(step), pa.array(counts[i, step])], ["i", "step", "n"])
+
+    parts = mapped(rows.select("text", "lang"), run, "i long, step long, n long")
+    # As many rows as languages and steps at most.
+    found = parts.groupBy("i", "step").agg(F.sum("n").alias("n")).toArrow()
+    i, step, n = (found.column(k).to_numpy() for k in range(3))
+    limits = np.full(len(model.langs), np.inf)
+    for k in range(len(limits)):
+        mine = np.flatnonzero(i == k)
+        mine = mine[np.argsort(step[mine])]
+        if len(mine):
+            below = np.cumsum(n[mine])
+            limits[k] = step[mine][np.searchsorted(below, (1 - REJECT_SHARE) * below[-1])] / STEPS * 1.05
+    return limits
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -254,6 +254,16 @@ def test_languages(docs):
     assert {got[i][1] for i in (900, 901, 902)} == {"und"} and all(0 <= x[2] <= 1 for x in got.values())
 
 
+def test_rejection_limits_come_from_all_rows(docs):
+    rows = [(i, prose(20 + i % 7, i), "ab"[i % 2], "s") for i in range(60)] + [(900, "12 34", "a", "s"), (901, "5", "z", "s")]
+    model = langid.fit(docs(rows))
+    assert model.langs == ["a", "b"]
+    h, _ = model.entropies([r[1] for r in rows[:60]])
+    for k, lang in enumerate(model.langs):
+        own = np.array([h[i, k] for i, r in enumerate(rows[:60]) if r[2] == lang])
+        assert np.quantile(own, 1 - langid.REJECT_SHARE) <= model.limits[k] / 1.05 <= own.max() + 1 / langid.STEPS + 1e-6
+
+
 def test_kneser_ney_sums_to_one():
     text = "abra cadabra abracadabra " * 3
     code, _ = langid.codes([text])
