@@ -20,6 +20,7 @@ from mastline.constants import (
 from mastline.functions import clock
 from mastline.functions.messages import name_list, name_set
 from mastline.functions.numeric import as_double, as_long
+from mastline.operators import kinds
 from mastline.operators.dedup import duplicate_counts
 
 ALL_CHECKS = [
@@ -32,6 +33,8 @@ ALL_CHECKS = [
     "duplicate_rows",
 ]
 
+EVOLUTION = "schema_evolution"  # the check that comes last where it is asked for
+
 _BAND = f"[{SIGNAL_MIN}, {SIGNAL_MAX}] dBm"
 
 
@@ -79,9 +82,14 @@ def run_checks(
     checks: list[str] = ALL_CHECKS,
     date: str = "_execution_date",
     tz: str = "UTC",
+    include_evolution: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """The requested checks, in their fixed order, for every date.
 
+    ``include_evolution`` adds the schema-change verdict as one more check, judged as
+    ``strict`` says; it takes a pass of its own over ``df``.
+
     ``columns_by_date`` (``execution_date, columns``) names the dates to report,
     including dates without a single row, and the columns each date's source
     had.  Without it the dates present in ``df`` are reported with ``df``'s columns.
@@ -101,7 +109,11 @@ def run_checks(
 
     present = set(per_date.columns)
     ordered = [_VERDICTS[c](present) for c in ALL_CHECKS if c in checks]
-    return per_date.select("execution_date", F.inline(F.array(*ordered)))
+    results = per_date.select("execution_date", F.inline(F.array(*ordered)))
+    if include_evolution:
+        by_date = per_date.select("execution_date", "columns") if columns_by_date is None else columns_by_date
+        results = results.unionByName(kinds.schema_evolution(df, by_date, date, strict))
+    return results
 
 
 # -- verdicts, each a struct on one row per date ---------------------------
@@ -258,7 +270,7 @@ def any_failure(results: DataFrame) -> bool:
 
 def gate_digest(results: DataFrame) -> DataFrame:
     """Per date: whether it failed, and its failing and warning checks as text."""
-    place = F.array_position(F.array(*(F.lit(c) for c in ALL_CHECKS)), F.col("check_name"))
+    place = F.array_position(F.array(*(F.lit(c) for c in [*ALL_CHECKS, EVOLUTION])), F.col("check_name"))
 
     def named(status: str) -> Column:
         # At most one entry per check.

@@ -263,6 +263,29 @@ def filtered_read(spark, folder):
     return table.read({"region": "click", "_execution_date": dates[-1]})
 
 
+@query(
+    "any_table_roundtrip",
+    f"""WITH {_R} SELECT seq, region, execution_date AS day FROM r
+WHERE NOT (region = 'click' AND execution_date = (SELECT MAX(execution_date) FROM r))""",
+)
+def any_table_roundtrip(spark, folder):
+    """A table of the caller's own name and partition column, one day of it written again with fewer rows."""
+    base = scratch_path(spark, "lake")
+    engine = Engine(spark, base, base)
+    rows = readings(spark, folder).select("seq", "region", F.col("_execution_date").alias("day"))
+    last = max(engine.write_table("mine.by_day", rows, "day"))
+    engine.write_table("mine.by_day", rows.where((F.col("day") == last) & (F.col("region") != "click")), "day", [last])
+    return Engine(spark, base, base).read_table("mine.by_day")
+
+
+@query("unknown_table_empty", f"WITH {_R} SELECT execution_date AS day, COUNT(*) AS n FROM r GROUP BY 1")
+def unknown_table_empty(spark, folder):
+    """A table that nobody wrote adds no rows."""
+    base = scratch_path(spark, "lake")
+    rows = readings(spark, folder).groupBy(F.col("_execution_date").alias("day")).agg(F.count("*").alias("n"))
+    return rows.unionByName(Engine(spark, base, base).read_table("mine.none"), allowMissingColumns=True)
+
+
 @query(
     "delete_rows",
     f"{_STORED} WHERE NOT (region = 'click' AND execution_date = (SELECT MAX(execution_date) FROM r))",
@@ -477,6 +500,36 @@ def _dq_sql(source: str, columns: list[str], only: str | None = None) -> str:
   {" UNION ALL ".join(chosen)})"""
 
 
+_COUNTS_SQL = " UNION ALL ".join(
+    f"""SELECT execution_date, '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT("{c}") AS n_null,
+  COUNT(TRY_CAST("{c}" AS BIGINT)) FILTER (NOT contains("{c}", '.')) AS n_int,
+  COUNT(TRY_CAST("{c}" AS DOUBLE)) AS n_float,
+  COUNT(*) FILTER ("{c}" IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) AS n_bool
+FROM x GROUP BY execution_date"""
+    for c in REQUIRED_COLUMNS
+)
+_KIND_SQL = """CASE WHEN n_rows = 0 THEN 'object' WHEN n_null = n_rows THEN 'float64'
+  WHEN n_bool = n_rows - n_null THEN CASE WHEN n_null > 0 THEN 'object' ELSE 'bool' END
+  WHEN n_int = n_rows THEN 'int64' WHEN n_float = n_rows - n_null THEN 'float64' ELSE 'object' END"""
+_EVOLUTION_PARTS = f"""c AS ({_COUNTS_SQL}), m AS (
+  SELECT execution_date, string_agg('''' || column_name || ': expected int, got ' || kind || '''', ', ' ORDER BY place)
+    AS found
+  FROM (SELECT *, {_KIND_SQL} AS kind, CASE column_name WHEN 'tower_id' THEN 0 ELSE 1 END AS place FROM c)
+  WHERE column_name IN ('tower_id', 'timestamp') AND n_int <> n_rows - n_null
+  GROUP BY execution_date)"""
+
+
+def _evolution_sql(extra: list[str]) -> str:
+    added = ", ".join(f"''{c}''" for c in sorted(extra))
+    return f"""SELECT d.execution_date, 'schema_evolution' AS check_name,
+  CASE WHEN found IS NULL THEN 'warn' ELSE 'fail' END AS status,
+  CASE WHEN found IS NULL THEN 'New columns detected: {{{added}}}. Iceberg schema will be evolved automatically.'
+    ELSE 'Column type mismatch detected: [' || found || ']. Pipeline aborted to prevent data corruption.' END
+    AS message,
+  CAST(0 AS BIGINT) AS failed_rows
+FROM (SELECT DISTINCT execution_date FROM x) d LEFT JOIN m USING (execution_date)"""
+
+
 _X_COLUMNS = [*REQUIRED_COLUMNS, "seq", "_execution_date"]
 
 
@@ -495,6 +548,15 @@ def dq_all(spark, folder):
     return checks.run_checks(faulty_readings(spark, folder))
 
 
+@query(
+    "dq_all_eight",
+    f"""WITH {_x()}, {_dq_sql('x', _X_COLUMNS)}, {_EVOLUTION_PARTS}
+SELECT * FROM q UNION ALL BY NAME {_evolution_sql(['seq', '_execution_date'])}""",
+)
+def dq_all_eight(spark, folder):
+    return checks.run_checks(faulty_readings(spark, folder), include_evolution=True)
+
+
 @query(
     "dq_gate",
     f"""WITH {_x()}, {_dq_sql('x', _X_COLUMNS)}, w AS (
@@ -511,40 +573,12 @@ def dq_gate(spark, folder):
     return checks.gate_digest(dq_all(spark, folder))
 
 
-_COUNTS_SQL = " UNION ALL ".join(
-    f"""SELECT execution_date, '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT("{c}") AS n_null,
-  COUNT(TRY_CAST("{c}" AS BIGINT)) FILTER (NOT contains("{c}", '.')) AS n_int,
-  COUNT(TRY_CAST("{c}" AS DOUBLE)) AS n_float,
-  COUNT(*) FILTER ("{c}" IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) AS n_bool
-FROM x GROUP BY execution_date"""
-    for c in REQUIRED_COLUMNS
-)
-_KIND_SQL = """CASE WHEN n_rows = 0 THEN 'object' WHEN n_null = n_rows THEN 'float64'
-  WHEN n_bool = n_rows - n_null THEN CASE WHEN n_null > 0 THEN 'object' ELSE 'bool' END
-  WHEN n_int = n_rows THEN 'int64' WHEN n_float = n_rows - n_null THEN 'float64' ELSE 'object' END"""
-
-
 @query("schema_kinds", f"WITH {_x()}, c AS ({_COUNTS_SQL}) SELECT *, {_KIND_SQL} AS kind FROM c")
 def schema_kinds(spark, folder):
     return kinds.column_kinds(faulty_readings(spark, folder))
 
 
-@query(
-    "schema_evolution",
-    f"""WITH {_x()}, c AS ({_COUNTS_SQL}), m AS (
-  SELECT execution_date, string_agg('''' || column_name || ': expected int, got ' || kind || '''', ', ' ORDER BY place)
-    AS found
-  FROM (SELECT *, {_KIND_SQL} AS kind, CASE column_name WHEN 'tower_id' THEN 0 ELSE 1 END AS place FROM c)
-  WHERE column_name IN ('tower_id', 'timestamp') AND n_int <> n_rows - n_null
-  GROUP BY execution_date)
-SELECT d.execution_date, 'schema_evolution' AS check_name,
-  CASE WHEN found IS NULL THEN 'warn' ELSE 'fail' END AS status,
-  CASE WHEN found IS NULL THEN 'New columns detected: {{''seq''}}. Iceberg schema will be evolved automatically.'
-    ELSE 'Column type mismatch detected: [' || found || ']. Pipeline aborted to prevent data corruption.' END
-    AS message,
-  CAST(0 AS BIGINT) AS failed_rows
-FROM (SELECT DISTINCT execution_date FROM x) d LEFT JOIN m USING (execution_date)""",
-)
+@query("schema_evolution", f"WITH {_x()}, {_EVOLUTION_PARTS} {_evolution_sql(['seq'])}")
 def schema_evolution(spark, folder):
     source = faulty_readings(spark, folder)
     columns = F.array(*(F.lit(c) for c in [*REQUIRED_COLUMNS, "seq"]))

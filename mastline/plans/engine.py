@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -29,9 +30,10 @@ from mastline.functions.clock import utc_now
 from mastline.operators import checks, clean, kinds, rollups
 from mastline.session import size_shuffles, small_frame
 from mastline.sinks.ledger import RunLedger
-from mastline.sinks.tables import DatedTable
+from mastline.sinks.tables import DatedTable, all_equal
 from mastline.sources import calendar, drops
 
+_NAME = re.compile(r"\w+(\.\w+)*")
 _TYPED = [c for c in REQUIRED_COLUMNS if c != "region"]
 
 
@@ -39,6 +41,8 @@ _TYPED = [c for c in REQUIRED_COLUMNS if c != "region"]
 class Engine:
     """Daily reading files to bronze, silver and gold below ``base``.
 
+    With ``dq_json``, a folder, the quality stage also writes its log there as JSON lines.
+
     ``source`` is the folder the daily files arrive in.  Every stage takes one
     date or many; many dates are one Spark job per write, not a loop.
     """
@@ -49,6 +53,7 @@ class Engine:
     tz: str = "UTC"
     strict: bool = False
     rows_per_file: int = 4_000_000
+    dq_json: str | None = None
     tables: dict[str, DatedTable] = field(init=False)
     ledger: RunLedger = field(init=False)
 
@@ -136,6 +141,8 @@ class Engine:
         log = self.tables[DQ_LOG]
         log.replace(stamped, listed)
         written = log.read(dates=listed)
+        if self.dq_json:
+            self.export_dq_json(listed, self.dq_json)
         checks.require_quality(written)
         return written
 
@@ -201,8 +208,38 @@ class Engine:
     # -- tables ------------------------------------------------------------
 
     def read_table(self, name: str, filters: dict | None = None) -> DataFrame:
-        """Any table by name, rows meeting every filter; empty if not yet written."""
-        return self.tables[name].read(filters)
+        """Any table by name, rows meeting every filter; an empty frame if there is none.
+
+        The ledger reads as its current state.
+        """
+        if name == LEDGER:
+            return self.ledger.state().where(all_equal(filters or {}))
+        return self._table(name).read(filters)
+
+    def write_table(self, name: str, df: DataFrame, key: str, values: list[str] | None = None) -> dict[str, int]:
+        """Make ``df`` the whole content of its values of ``key``, the partition column; returns rows per value.
+
+        ``values`` names them, also those that ``df`` has no rows for and that are emptied;
+        otherwise they are looked up, one row per partition.  Other partitions stay.
+        """
+        if name == LEDGER:
+            raise ValueError(f"{name} is only written by runs")
+        table = self._table(name, key)
+        if table.key != key:
+            raise ValueError(f"{name} is partitioned by {table.key}, not {key}")
+        if values is None:
+            values = [r[0] for r in df.select(key).distinct().collect()]
+        return table.replace(df, values) if values else {}
+
+    def _table(self, name: str, key: str | None = None) -> DatedTable:
+        if name in self.tables:
+            return self.tables[name]
+        if not _NAME.fullmatch(name):
+            raise ValueError(f"not a table name: {name!r}")
+        table = DatedTable(self.spark, self._path(name), key)
+        if key is not None:
+            self.tables[name] = table
+        return table
 
     # -- whole run ---------------------------------------------------------
 

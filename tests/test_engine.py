@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mastline import Engine
-from mastline.constants import BRONZE, DAILY, DQ_LOG, FACT, HOURLY, REQUIRED_COLUMNS, SILVER, TRACKED_TABLES
+from mastline.constants import BRONZE, DAILY, DQ_LOG, FACT, HOURLY, LEDGER, REQUIRED_COLUMNS, SILVER, TRACKED_TABLES
 from mastline.operators.checks import QualityError
 from mastline.operators.kinds import SchemaEvolutionError
 from tests.conftest import DAY, MIDNIGHT, write_csv
@@ -220,3 +220,29 @@ def test_strict_mode_refuses_blank_integers(spark, tmp_path, drop):
     strict = Engine(spark, str(tmp_path / "in"), str(tmp_path / "lake"), strict=True)
     with pytest.raises(SchemaEvolutionError, match="tower_id: expected int, got float64"):
         strict.run("r1", DAY)
+
+
+def test_tables_of_any_name(engine, spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "part string, n int")
+    assert engine.write_table("mine.things", rows, "part") == {"a": 2, "b": 1}
+    assert engine.write_table("mine.things", rows.where("n = 2"), "part", ["a", "b"]) == {"a": 1, "b": 0}
+    again = Engine(spark, engine.source, engine.base)
+    assert [(r.part, r.n) for r in again.read_table("mine.things", {"part": "a"}).collect()] == [("a", 2)]
+    assert again.read_table("mine.nothing", {"part": "a"}).count() == 0
+    assert again.read_table(LEDGER).count() == 0
+    for bad in ("../out", "a..b", ""):
+        with pytest.raises(ValueError, match="table name"):
+            again.read_table(bad)
+    with pytest.raises(ValueError, match="partitioned by"):
+        engine.write_table("mine.things", rows, "n")
+    with pytest.raises(ValueError, match="only written by runs"):
+        engine.write_table(LEDGER, rows, "part")
+
+
+def test_quality_log_as_json_in_a_run(spark, tmp_path, drop, engine):
+    drop(DAY, lines())
+    out = str(tmp_path / "log")
+    logging = Engine(spark, engine.source, engine.base, dq_json=out)
+    logging.run("r1", DAY)
+    assert spark.read.json(out).count() == 7
+    assert logging.read_table(LEDGER, {"run_id": "r1"}).count() == 5
