@@ -573,6 +573,45 @@ def dq_gate(spark, folder):
     return checks.gate_digest(dq_all(spark, folder))
 
 
+_FAILURES_SQL = """d AS (
+  SELECT execution_date, COUNT(*) AS n FROM x GROUP BY 1 UNION ALL
+  SELECT strftime(CAST(MAX(execution_date) AS DATE) + 1, '%Y-%m-%d'), 0 FROM x),
+c AS (SELECT *, execution_date = (SELECT MIN(execution_date) FROM x) AS lacks FROM d),
+q AS (
+  SELECT execution_date, 'not_empty' AS check_name, CASE WHEN n = 0 THEN 'fail' ELSE 'pass' END AS status,
+    CASE WHEN n = 0 THEN 'File contains zero rows.' ELSE n || ' rows found.' END AS message, CAST(0 AS BIGINT) AS failed_rows
+  FROM c
+  UNION ALL
+  SELECT execution_date, 'schema_columns', CASE WHEN lacks THEN 'fail' ELSE 'pass' END,
+    CASE WHEN lacks THEN 'Missing columns: {''region''}' ELSE 'All required columns present.' END, 0
+  FROM c)"""
+
+
+@query("dq_failures", f"WITH {_x()}, {_FAILURES_SQL} SELECT * FROM q")
+def dq_failures(spark, folder):
+    """The first date's source lacks a column, and the day after the last one has no rows."""
+    source = faulty_readings(spark, folder)
+    dates = source.select(F.col("_execution_date").alias("execution_date")).distinct()
+    ends = source.agg(F.min("_execution_date").alias("first"), F.max("_execution_date").alias("last"))
+    spine = dates.unionByName(ends.select(F.date_add(F.to_date("last"), 1).cast("string").alias("execution_date")))
+    every, short = (F.array(*(F.lit(c) for c in REQUIRED_COLUMNS if c != lacking)) for lacking in (None, "region"))
+    columns = F.when(F.col("first").isNotNull(), short).otherwise(every)
+    by_date = spine.join(ends.select("first"), F.col("execution_date") == F.col("first"), "left")
+    return checks.run_checks(source, by_date.select("execution_date", columns.alias("columns")), ["not_empty", "schema_columns"])
+
+
+@query(
+    "dq_gate_failures",
+    f"""WITH {_x()}, {_FAILURES_SQL}
+SELECT execution_date, bool_or(status = 'fail') AS has_failures,
+  '[' || COALESCE(string_agg('''' || check_name || '''', ', ' ORDER BY check_name) FILTER (status = 'fail'), '') || ']'
+    AS failed_checks, '[]' AS warned_checks
+FROM q GROUP BY execution_date""",
+)
+def dq_gate_failures(spark, folder):
+    return checks.gate_digest(dq_failures(spark, folder))
+
+
 @query("schema_kinds", f"WITH {_x()}, c AS ({_COUNTS_SQL}) SELECT *, {_KIND_SQL} AS kind FROM c")
 def schema_kinds(spark, folder):
     return kinds.column_kinds(faulty_readings(spark, folder))
