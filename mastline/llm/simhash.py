@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints, and a grid join over their segments' bit counts.
+"""SimHash links: fingerprints, and a grid join over their segments' bit counts.
 
 A fingerprint is cut into groups of bits and each group into short segments.  The counts
 of one-bits per segment embed it in a small grid where the Manhattan distance never
@@ -10,7 +10,6 @@ cell mates, and the exact distance decides.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import mapped, mixed, sized, without, written
+from mastline.llm.common import mapped, mixed, sized, written
 from mastline.llm.components import components
+from mastline.llm.similar import drop_near_duplicates, near_duplicates  # noqa: F401  (by their former place)
 
 SEED = 42
 SEGMENT = 2  # bits of a segment
@@ -195,38 +195,6 @@ def clusters(prints: DataFrame, bits: int, radius: int, groups: int | None = Non
     return joined.select("doc_id", "fp", component.alias("component_id"))
 
 
-def radius_of(similarity: float, bits: int, slack: float = 1.0) -> int:
-    """Bits in which texts of this Jaccard similarity differ on average, plus ``slack`` standard deviations.
-
-    The cosine of two equally large sets is 2J / (1 + J), and a bit differs
-    with the angle over pi.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + slack * math.sqrt(bits * p * (1 - p)))
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 8, groups: int = 32) -> DataFrame:
-    """(doc_id, fp, component_id): texts whose word shingles are similar enough, linked transitively.
-
-    Uses ``64 * words`` bits, of which ``groups`` groups index the grid.  The radius stands
-    for the similarity, so here the grid join is not complete as with
-    ``groups > radius``: of pairs at exactly 0.8 about nine in ten share a cell, at 0.9
-    almost all.  Texts without words link to each other.
-    """
-    bits = 64 * words
-    return clusters(written(fingerprints(docs, shingle, words), "prints"), bits, radius_of(similarity, bits), groups)
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id.
-
-    Rows without doc_id stay.  Columns are those of ``docs``.
-    """
-    found = near_duplicates(docs, **options)
-    gone = written(found.where("doc_id is not null and component_id != doc_id").select("doc_id"), "near")
-    return without(docs, gone)
-
-
 def linked_documents(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fingerprint hex, component_id) with every link of at most ``radius`` bits of a 64-bit SimHash."""
     prints = written(fingerprints(docs, shingle, 1), "prints")

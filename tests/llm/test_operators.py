@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from mastline.llm import components, decontaminate, exact, langid, licenses, mixing, secrets, simhash, substrings, tokens, toxicity
+from mastline.llm import components, decontaminate, exact, langid, licenses, mixing, secrets, similar, simhash, substrings, tokens, toxicity
 
 SPACE = r"[\x20\x09-\x0D]"
 RNG = random.Random(11)
@@ -119,6 +119,41 @@ def test_near_duplicates_go(docs):
     assert kept == {i for i, _ in base}
 
 
+def test_links_are_exact_at_the_limit(docs):
+    rng, rows = random.Random(31), []
+    for i in range(60):
+        w = [f"w{i}x{k}" for k in range(204)]  # 200 shingles; a changed tail of k words changes k shingles
+        rows.append((i, " ".join(w)))
+        rows.append((100 + i, " ".join(w[: 204 - (22 if i % 2 else 23)] + [f"z{i}y{k}" for k in range(22 if i % 2 else 23)])))
+        rows.append((200 + i, " ".join([f"r{i}"] * 600 + w)))  # a repeated word is one shingle more, and four around it
+    rng.shuffle(rows)
+    got = by_id(simhash.near_duplicates(docs(rows)), "component_id")
+    # 178 of 222 shingles are 0.802; 177 of 223 are 0.794.
+    assert got == {i: (i % 100 if i < 100 or i >= 200 or i % 2 else i,) for i, _ in rows} | {100 + i: (i if i % 2 else 100 + i,) for i in range(60)}
+
+
+def test_frequent_shingles_and_windows_change_nothing(docs, monkeypatch):
+    base = prose(150, 77).split()
+    rows = []
+    for i in range(80):
+        rng, w = random.Random(i), list(base)
+        for _ in range(i % 9):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    plain = by_id(simhash.near_duplicates(docs(rows)), "component_id")
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(146)} for i, t in rows}
+    group = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    assert plain == {i: (g,) for i, g in group.items()} and len(set(group.values())) > 1
+    monkeypatch.setattr(similar, "WINDOW", 2)
+    monkeypatch.setattr(similar, "WIDER", 2)
+    assert by_id(simhash.near_duplicates(docs(rows)), "component_id") == plain
+
+
 def test_passages(docs, mixed_texts):
     got = by_id(substrings.passages_report(docs(mixed_texts)), "n_words", "n_removed", "kept_sha256")
     seen = set()
