@@ -14,13 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import mapped, written
+from mastline.llm.common import mapped
 
 ORDER = 4
-MODEL_NGRAMS = 400_000  # n-grams of the highest order in the model, the most frequent ones; rarer ones fall back
 REJECT_SHARE = 0.002
 STEPS, MOST_NATS = 200, 40  # histogram of calibration: steps a nat, and the nats beyond which all share one step
 SLICE_CHARS = 1 << 17
@@ -234,28 +234,19 @@ def kneser_ney(langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.n
     return Model(langs, keys, [np.log(np.maximum(p, 1e-12)).astype(np.float32) for p in prob], [b.astype(np.float32) for b in back], float(np.log(1e-6)))
 
 
-def fit(docs: DataFrame, order: int = ORDER, ngrams: int = MODEL_NGRAMS) -> Model | None:
+def fit(docs: DataFrame, order: int = ORDER) -> Model | None:
     """A model from all rows of ``docs`` (doc_id, text, lang) with text and lang; None if there are none.
 
-    Counts are taken over everything.  The model keeps the ``ngrams`` most frequent n-grams of
-    all languages together, found from the histogram of counts, so its size is bounded.
+    Counts are taken over everything and all distinct n-grams are kept: discounts and
+    continuation counts are those of the whole corpus and no language is cut.  The model's size
+    is that of the distinct n-grams times the languages; it is built on the driver.
     """
     rows = docs.where("text is not null and lang is not null")
-    counts = written(count_ngrams(rows, order), "ngrams")
-    sizes = counts.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n"))
-    least, total = 0, 0
-    if (found := counts.count()) > ngrams:
-        for n, k in sizes.toLocalIterator():
-            total += k
-            if total > ngrams:
-                least = n
-                break
-    if not found:
+    table = count_ngrams(rows, order).toArrow()
+    if not table.num_rows:
         return None
-    table = counts.where(F.col("n") > least).select("lang", "gram", "n").toArrow()
-    langs = sorted(set(table.column("lang").to_pylist()))
-    index = {x: i for i, x in enumerate(langs)}
-    lang = np.array([index[x] for x in table.column("lang").to_pylist()])
+    langs = sorted(set(table.column("lang").unique().to_pylist()))
+    lang = pc.index_in(table.column("lang"), pa.array(langs, pa.string())).to_numpy()
     model = kneser_ney(langs, lang, table.column("gram").to_numpy(), table.column("n").to_numpy(), order)
     model.limits = _limits(rows, model)
     return model
@@ -304,7 +295,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     if model is None:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # about MODEL_NGRAMS rows per order
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a row per distinct n-gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -289,6 +289,20 @@ def test_languages(docs):
     assert {got[i][1] for i in (900, 901, 902)} == {"und"} and all(0 <= x[2] <= 1 for x in got.values())
 
 
+def test_no_language_loses_its_ngrams_to_another(docs):
+    rng = random.Random(12)
+    letters = [chr(c) for c in range(0x61, 0x590) if chr(c).isalpha() and chr(c).islower()]
+    rows = [(i, " ".join("".join(rng.choices(letters, k=9)) for _ in range(1500)), "aa", "s") for i in range(40)]  # some 580,000 distinct 4-grams
+    rows += [(1000 + i, prose(30, i), "bb", "s") for i in range(4)]
+    model = langid.fit(docs(rows))
+    assert model.langs == ["aa", "bb"]
+    want = set()
+    for _, text, *_ in rows:
+        want.update(langid.grams(langid.codes([text])[0], langid.ORDER).tolist())
+    assert len(want) > 400_000 and model.keys[-1].tolist() == sorted(want)
+    assert model.predict([prose(30, 99), rows[5][1]])[0] == ["bb", "aa"]
+
+
 def test_rejection_limits_come_from_all_rows(docs):
     rows = [(i, prose(20 + i % 7, i), "ab"[i % 2], "s") for i in range(60)] + [(900, "12 34", "a", "s"), (901, "5", "z", "s")]
     model = langid.fit(docs(rows))
