@@ -4,7 +4,7 @@ Words are hashed; a sorted array of the hashes that the sample knows gives each
 embedding, all others share none.  Filters of several widths slide over the text, each
 keeps its largest response, and a logistic unit joins them.  The filters are trained in
 NumPy on a bounded sample; a threshold per language, with the language read off the text's
-own words, is calibrated on rows that training has not seen.
+own words, is calibrated on all labelled rows that training has not seen.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import Rolling, Words, byte_table, mapped, release, sliced, utf8, without, written
+from mastline.llm.common import Rolling, Words, byte_table, mapped, release, sized, sliced, utf8, without, written
 
 SAMPLE_ROWS = 8_000  # labelled rows that are fitted, those with the smallest hashes
 SAMPLE_WORDS = 20_000  # longer texts are scored but not fitted
@@ -26,6 +26,8 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 DIM = 8
 EPOCHS = 4
+STEPS, MOST = 256, 30  # histogram of calibration: steps a logit, and the logit beyond which all share one step
+SPARSE = 5  # toxic calibration rows below which a language takes the threshold of all
 PRIOR = 6.0  # documents of prior weight behind a word's first estimate
 _KEEP = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 _TABLE = byte_table(_KEEP, lower=True)
@@ -84,11 +86,14 @@ def known(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(table[at] == h, at + 1, 0)
 
 
-def train(texts: list[np.ndarray], toxic: np.ndarray, langs: np.ndarray, names: int, seed: int = 7) -> Model:
-    """A model from hashed texts.  Three parts: words' first estimates, filters, thresholds; none sees another's rows."""
+def train(texts: list[np.ndarray], toxic: np.ndarray, langs: np.ndarray, names: int, seed: int = 7) -> tuple[Model, np.ndarray]:
+    """A model from hashed texts, and which of them were fitted.
+
+    Three parts: words' first estimates, filters, and rows left for the thresholds; none sees another's rows.
+    """
     rng = np.random.default_rng(seed)
     part = rng.permutation(len(texts)) % 20
-    first, second, third = part < 8, (part >= 8) & (part < 15), part >= 15
+    first, second = part < 8, (part >= 8) & (part < 15)
 
     def pairs(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sets = [np.unique(texts[i]) for i in np.flatnonzero(chosen)]
@@ -152,48 +157,63 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, langs: np.ndarray, names:
             base_square += error * error
             base -= rate_now * error / np.sqrt(base_square)
 
-    model = Model(table, [np.stack([emb @ f[k] for k in range(len(f))]).astype(np.float32) for f in filters], bias, out, float(base), votes.astype(np.float32), 1.0, np.zeros(names))
-    model.cuts = _thresholds(model, lines, texts, toxic, third, langs, names, forward)
-    return model
+    return Model(table, [np.stack([emb @ f[k] for k in range(len(f))]).astype(np.float32) for f in filters], bias, out, float(base), votes.astype(np.float32), 1.0, np.zeros(names)), first | second
 
 
-def _thresholds(model, lines, texts, toxic, chosen, langs, names, forward) -> np.ndarray:
-    """Per language the logit with the best F1 on the calibration rows.
+def calibrate(docs: DataFrame, labels: DataFrame, fitted: list[str], model: Model) -> np.ndarray:
+    """Per language the logit with the best F1 on all labelled rows (__id, __toxic) whose doc_id was not fitted.
 
-    Where no logit finds more toxic than clean rows, the threshold is above all that were seen.
+    Logits are counted in steps per language and label.  A language with under SPARSE toxic rows
+    takes the threshold of all rows together.  Where no logit finds more toxic than clean
+    rows, the threshold is above all that were seen.
     """
-    z = np.array([np.maximum(forward(line)[0], 0) @ model.out + model.base for line in lines])
-    words = [known(model.words, t) for t in texts]
-    guess = np.array([int(np.argmax(model.votes[w].sum(0))) if len(w) else 0 for w in words], np.int64)
-    cuts = np.zeros(names)
-    every = _best_cut(z[chosen], toxic[chosen])
-    for k in range(names):
-        here = chosen & (guess == k)
-        cuts[k] = _best_cut(z[here], toxic[here]) if toxic[here].sum() >= 5 else max(every, z[here].max(initial=every) + 1e-3)
-    return cuts
-
-
-def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
-    order = np.argsort(-z, kind="stable")
-    z, y = z[order], y[order]
-    hits, n = np.cumsum(y), np.arange(1, len(y) + 1)
-    f1 = 2 * hits / (n + max(1, y.sum()))
-    f1 = np.where((2 * hits > n) & np.append(z[1:] < z[:-1], True), f1, 0)
-    if not len(z) or f1.max() <= 0:
-        return float(z.max(initial=0)) + 1.0
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(model)
+    used = F.broadcast(spark.createDataFrame([(x,) for x in sorted(set(fitted))], "__used string"))  # SAMPLE_ROWS
+    rest = sized(labels.join(used, F.col("__id").cast("string") == F.col("__used"), "left_anti"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(sent.value.cuts), 2, 2 * MOST * STEPS + 1), np.int64)
+        for b in batches:
+            toxic = (b.column(1).to_numpy(zero_copy_only=False) > 0).astype(np.int64)
+            for first, last, data, bounds in sliced(*utf8(b.column(0))):
+                z, lang = sent.value.logits(data, bounds)
+                np.add.at(counts, (lang, toxic[first:last], np.floor((np.clip(z, -MOST, MOST) + MOST) * STEPS).astype(np.int64)), 1)
+        lang, toxic, step = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lang, toxic, step, counts[lang, toxic, step])], ["lang", "toxic", "step", "n"])
+
+    parts = mapped(docs.join(rest, docs["doc_id"] == rest["__id"]).select("text", "__toxic"), run, "lang long, toxic long, step long, n long")
+    # As many rows as languages, labels and steps at most.
+    got = parts.groupBy("lang", "toxic", "step").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((len(model.cuts), 2, 2 * MOST * STEPS + 1), np.int64)
+    lang, toxic, step, n = (got.column(k).to_numpy() for k in range(4))
+    counts[lang, toxic, step] = n
+    every = _best_cut(counts.sum(0))
+    return np.array([_best_cut(c) if c[1].sum() >= SPARSE else every for c in counts])
+
+
+def _best_cut(counts: np.ndarray) -> float:
+    """From rows by label and step of the logit."""
+    step = np.flatnonzero(counts.sum(0))[::-1]
+    hits, n = np.cumsum(counts[1, step]), np.cumsum(counts[:, step].sum(0))
+    f1 = np.where(2 * hits > n, 2 * hits / (n + max(1, counts[1].sum())), 0)
+    if not len(step) or f1.max() <= 0:
+        return float(max(step.max(initial=0) / STEPS - MOST, 0)) + 1.0
     i = int(f1.argmax())
-    low = z[i + 1] if i + 1 < len(z) else z[i] - 2
-    return float(z[i] * 0.5 + low * 0.5)
+    low = (step[i + 1] + 1) / STEPS if i + 1 < len(step) else step[i] / STEPS - 2
+    return float(step[i] / STEPS * 0.5 + low * 0.5 - MOST)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from at most ``rows`` labelled rows (doc_id, toxic) and the texts and languages of ``docs``.
 
+    Thresholds come from all labelled rows that were not fitted, however many there are.
     Rows are taken in the order of a hash of doc_id.  Texts come to the driver as word
     hashes: at most rows * SAMPLE_WORDS numbers, in practice far fewer.  Null labels do not
     count.  None if there are no labelled texts or only one label.
     """
     chosen = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).distinct()
+    every = chosen
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("__id"), "__id", "__toxic").limit(rows))  # bounded by rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +233,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
         return None
     names = sorted(set(got["lang"]))
     langs = np.array([names.index(x) for x in got["lang"]])
-    model = train([np.frombuffer(x, np.uint64) for x in got["h"]], toxic, langs, len(names))
+    model, fitted = train([np.frombuffer(x, np.uint64) for x in got["h"]], toxic, langs, len(names))
+    used = [got["id"][i] for i in np.flatnonzero(fitted)]
     del got, sample
+    model.cuts = calibrate(docs, every, used, model)
     release()
     return model
 

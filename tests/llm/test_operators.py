@@ -358,6 +358,23 @@ def test_toxicity(spark, docs):
     assert [tuple(r[2:]) for r in empty.collect()] == [(0.0, 0)] * 3
 
 
+def test_toxic_rows_of_a_sparse_language_are_found(spark, docs):
+    rng = random.Random(13)
+    rows, labels = [], []
+    for i in range(1560):
+        other, bad = i >= 1500, i % 5 == 0
+        words = [f"{w}ix" if other else w for w in prose(60, 5000 + i).split()]
+        for _ in range(3 if bad else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["vile", "nasty", "awful"]))
+        rows.append((i, " ".join(words), "fr" if other else "en", "s"))
+        if i < 1500 or not bad or i < 1520:  # four toxic rows of the small language are labelled
+            labels.append((i, 1, int(bad)))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = by_id(toxicity.toxicity_report(docs(rows), table), "predicted")
+    assert sum(got[i][0] for i in range(1520, 1560, 5)) >= 7
+    assert sum(got[i][0] for i in range(1500, 1560) if i % 5) <= 3
+
+
 def test_licenses(spark, docs):
     rows = [(0, "text\nLicensed under the Apache License, Version 2.0."), (1, "no statement"), (2, "a license to speak freely in many words here"), (3, None), (4, "Released under the MIT License.")]
     paths = {0: "r/LICENSE", 1: "r/a/b/x.py", 2: "r/c.py", 3: "q/z", 4: "r/a/b/LICENSE"}
