@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # What one broadcast may hold; larger sides are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+MARKED_ROWS = 250_000  # the same for rows with a digest
 # Bytes of text worked on at once; one longer text is worked on alone.
 SLICE_BYTES = 1 << 18
 
@@ -48,10 +49,40 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` less the rows whose key is in the written table ``gone``; nulls match nulls."""
-    ids = sized(gone.select(F.col(key).alias("__gone")).distinct())
-    return docs.join(ids, docs[key].eqNullSafe(ids["__gone"]), "left_anti")
+def text_mark() -> Column:
+    """A digest of the text that names a row together with its doc_id; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with a struct (doc_id, mark) as doc_id, so that a decision names its row's text too."""
+    return docs.select(F.struct("doc_id", text_mark().alias("mark")).alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id (null is a value) and text are in the written table ``gone`` (doc_id, mark)."""
+    gone = sized(gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct(), MARKED_ROWS)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]) & (text_mark() == gone["__mark"]), "left_anti")
+
+
+def only(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` less what the written table ``decided`` (doc_id, mark, stays) rejects; of equal rows that stay, one.
+
+    Rows that are not in ``decided`` stay.  Equal are rows of one doc_id and text; the first
+    by the other columns' JSON stays.
+    """
+    gone = written(decided.where(~F.col("stays")).select("doc_id", "mark").distinct(), "gone")
+    twice = decided.where("stays").groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1")
+    twice = written(twice.select("doc_id", "mark"), "twice")
+    rest = without(docs, gone)
+    if twice.isEmpty():
+        return rest
+    few = sized(twice.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")), MARKED_ROWS)
+    same = rest.withColumn("__own", text_mark())
+    same = same.join(few, same["doc_id"].eqNullSafe(few["__id"]) & (same["__own"] == few["__mark"]), "left_semi")
+    order = Window.partitionBy("doc_id", "__own").orderBy(F.to_json(F.struct(*docs.columns)))
+    first = same.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*docs.columns)
+    return without(rest, twice).unionByName(first)
 
 
 def release() -> None:

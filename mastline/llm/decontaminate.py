@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import Rolling, Words, byte_table, mapped, sliced, utf8, without, written
+from mastline.llm.common import Rolling, Words, byte_table, keyed, mapped, sliced, utf8, without, written
 
 Q = 8
 EDIT_RATE = 0.08  # edits allowed per character of a passage
@@ -198,7 +198,7 @@ def _arrow(kind: str) -> pa.DataType:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` less those that hold a passage of the benchmark; columns as they are."""
-    gone = written(leaks(docs, benchmark, **options).select("doc_id").distinct(), "leaks")
+    """``docs`` less the rows whose text holds a passage of the benchmark; columns as they are."""
+    gone = written(leaks(keyed(docs), benchmark, **options).select("doc_id.*").distinct(), "leaks")
     return without(docs, gone)
 

@@ -17,14 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastline.llm.common import SPACES, mapped, without, written
+from mastline.llm.common import SPACES, keyed, mapped, only, written
 
 # Counters of a task and rows of the broadcast: a digest with over 1/(k + 1) of all rows is always among them.
 COUNTERS = 1024
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest binary, points): SHA-256 of the text less all ``[\\x20\\x09-\\x0D]``, and the text's code points."""
+    """(doc_id, digest binary, points) of ``docs`` (doc_id, text): SHA-256 of the text less all ``[\\x20\\x09-\\x0D]``, and the text's code points."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,27 +71,38 @@ def exact_groups(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     last).  Null counts as empty text.  Rows that repeat a doc_id count in group_size
     and share its fate.  An empty table gives no rows.
     """
-    table = written(digests(docs), "digests")
-    best = F.max(F.struct("points", (F.col("doc_id").isNotNull()).alias("known"), (-F.col("doc_id")).alias("low")))
+    out = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"]
+    return _groups(digests(docs).withColumn("mark", F.lit(None).cast("binary")), k).select(*out)
+
+
+def _groups(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` (doc_id, digest, points, mark) with group_size, and the staying row of their group in ``best``, its doc_id as keep_id."""
+    table = written(rows, "digests")
+    best = F.max(F.struct("points", (F.col("doc_id").isNotNull()).alias("known"), (-F.col("doc_id")).alias("low"), "mark"))
     keep = -F.col("best.low")
 
     candidates = F.broadcast(frequent(table, k))  # k rows at most
     heavy = table.join(candidates, "digest", "left_semi").groupBy("digest").agg(F.count("*").alias("group_size"), best.alias("best"))
-    heavy = written(heavy.select("digest", "group_size", keep.alias("keep_id")), "heavy")  # k rows at most
+    heavy = written(heavy.withColumn("keep_id", keep), "heavy")  # k rows at most
     mapside = table.join(F.broadcast(heavy), "digest")
 
     same = Window.partitionBy("digest")
     light = table.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
     light = light.withColumns({"group_size": F.count("*").over(same), "best": best.over(same)}).withColumn("keep_id", keep)
-
-    out = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"]
-    return mapside.select(*out).union(light.select(*out))
+    return mapside.unionByName(light)
 
 
 def drop_copies(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
-    """``docs`` with the staying row of each group of equal texts; columns as they are."""
-    gone = written(exact_groups(docs, k).where(~F.col("kept")).select("doc_id"), "copies")
-    return without(docs, gone)
+    """``docs`` with one row of each group of equal texts; columns as they are.
+
+    It is the row that ``exact_groups`` keeps.  Where several rows of a group have its doc_id,
+    the one with the most code points stays, then the one with the largest digest of
+    the text as it is, then the first by the other columns.
+    """
+    rows = digests(keyed(docs)).select("doc_id.*", "digest", "points")
+    found = _groups(rows, k).where("group_size > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("best.points")) & (F.col("mark") == F.col("best.mark"))
+    return only(docs, written(found.select("doc_id", "mark", stays.alias("stays")), "copies"))
 
 
 def exact_report(docs: DataFrame) -> DataFrame:

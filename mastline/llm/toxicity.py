@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastline.llm.common import Rolling, Words, byte_table, mapped, release, sized, sliced, utf8, without, written
+from mastline.llm.common import Rolling, Words, byte_table, keyed, mapped, release, sized, sliced, utf8, without, written
 
 SAMPLE_ROWS = 8_000  # labelled rows that are fitted, those with the smallest hashes
 SAMPLE_WORDS = 20_000  # longer texts are scored but not fitted
@@ -269,7 +269,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` less the rows that the classifier rejects; columns as they are."""
+    """``docs`` less the rows whose text the classifier rejects; columns as they are."""
     model = fit(docs, labels.where(~held_out()))
-    gone = written(score(docs, model).where("predicted = 1").select("doc_id"), "toxic")
+    gone = written(score(keyed(docs), model).where("predicted = 1").select("doc_id.*"), "toxic")
     return without(docs, gone)

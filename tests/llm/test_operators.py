@@ -375,6 +375,28 @@ def test_toxic_rows_of_a_sparse_language_are_found(spark, docs):
     assert sum(got[i][0] for i in range(1500, 1560) if i % 5) <= 3
 
 
+def test_decisions_are_of_rows_not_of_ids(spark, docs):
+    clean = [prose(40, 700 + k) for k in range(6)]
+    item = prose(30, 950)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, clean[0]), (None, f"{prose(5, 1)} {item}"), (7, clean[1]), (7, f"{item} {prose(5, 2)}")]
+    assert {r.text for r in decontaminate.drop_contaminated(docs(rows), bench).collect()} == {clean[0], clean[1]}
+    rows = [(1, clean[0]), (None, clean[0]), (None, clean[1]), (2, clean[2]), (2, clean[2]), (2, clean[3]), (None, clean[4]), (None, clean[4]), (3, "a b"), (3, "ab"), (4, clean[5]), (3, clean[5])]
+    got = exact.drop_copies(docs(rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, clean[0]), (0, clean[1]), (2, clean[2]), (2, clean[3]), (0, clean[4]), (3, "a b"), (3, clean[5])])
+    rows = [(1, clean[0]), (None, clean[0].upper()), (None, clean[1]), (2, clean[2]), (2, clean[2]), (2, clean[3]), (None, clean[4]), (None, clean[4]), (3, clean[5]), (2, clean[5].upper())]
+    got = simhash.drop_near_duplicates(docs(rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, clean[0]), (0, clean[1]), (2, clean[2]), (2, clean[3]), (0, clean[4]), (2, clean[5].upper())])
+
+
+def test_polite_rows_without_id_stay(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda *_: None)
+    monkeypatch.setattr(toxicity, "score", lambda d, _: d.select("doc_id", F.when(F.col("text").contains("vile"), 1).otherwise(0).alias("predicted")))
+    rows = [(None, "kind words"), (None, "vile words"), (1, "good"), (1, "vile")]
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.text for r in toxicity.drop_toxic(docs(rows), labels).collect()} == {"kind words", "good"}
+
+
 def test_licenses(spark, docs):
     rows = [(0, "text\nLicensed under the Apache License, Version 2.0."), (1, "no statement"), (2, "a license to speak freely in many words here"), (3, None), (4, "Released under the MIT License.")]
     paths = {0: "r/LICENSE", 1: "r/a/b/x.py", 2: "r/c.py", 3: "q/z", 4: "r/a/b/LICENSE"}
