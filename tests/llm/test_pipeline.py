@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from mastline.llm import queries
-from tests.llm.test_operators import prose
+from mastline.llm import queries, simhash
+from tests.llm.test_operators import grouped_by, prose
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC, COPIES, NEAR, LEAKED = range(1000, 1010), range(1100, 1110), range(1200, 1210), range(1300, 1306)
@@ -29,13 +29,15 @@ def folder(spark, docs, tmp_path):
     passages = [prose(30, 500 + k) for k in range(len(LEAKED))]
     rows += [[i, " ".join(["vile", "nasty", "awful", *prose(40, i).split(), "nasty", "vile"])] for i in TOXIC]
     rows += [[i, clean[5 * k + 1].replace(" ", "\n") + " "] for k, i in enumerate(COPIES)]
-    rows += [[i, clean[5 * k + 2] + " tail"] for k, i in enumerate(NEAR)]
+    rows += [[i, clean[5 * k + 2].upper()] for k, i in enumerate(NEAR)]
     rows += [[i, f"{prose(20, i)} {p.upper()} {prose(20, i + 50)}"] for i, p in zip(LEAKED, passages, strict=True)]
     rows += [[1400, ""], [1401, None]]
     path = str(tmp_path / "tables")
     docs([(*r, "en", f"s{r[0] % 4}") for r in rows]).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    vectors = [(i, [rng.gauss(0, 0.1) for _ in range(16)], rng.randrange(10)) for i in range(700)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{path}/embeddings.parquet")
     return path
 
 
@@ -54,16 +56,9 @@ def copies_gone(found):
     return kept_of_groups(groups.values(), lambda i: (-len(found[i]), i))
 
 
-def near_gone(found, size=5, similarity=0.8):
-    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in found.items()}
-    shingles = {i: {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for i, w in words.items()}
-    group = {i: i for i in found}
-    for i in sorted(found):
-        for j in sorted(found):
-            if i < j and len(shingles[i] & shingles[j]) >= similarity * len(shingles[i] | shingles[j]):
-                low, high = sorted((group[i], group[j]))
-                group = {k: low if g == high else g for k, g in group.items()}
-    return set(group.values())
+def near_gone(found):
+    fp = {i: int.from_bytes(simhash.fingerprint(t), "big") for i, t in found.items()}
+    return {g for (g,) in grouped_by(sorted(fp), lambda i, j: (fp[i] ^ fp[j]).bit_count() <= 4).values()}
 
 
 def test_stages(spark, folder, tmp_path):
@@ -96,7 +91,8 @@ def test_run_on_empty_tables(spark, folder, tmp_path):
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_query_matches_sql(spark, folder, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    for table in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
     df = queries.QUERIES[name](spark, folder)
     answer = duck.sql(queries.ORACLE_SQL[name])
     columns = sorted(df.columns)
