@@ -25,7 +25,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, similarity 0.8) one stays."""
+    """Of each group of documents with near fingerprints (four words, four bits) one stays."""
     return drop_near_duplicates(docs)
 
 
