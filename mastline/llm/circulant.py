@@ -4,13 +4,14 @@ A first permutation of the 64-bit shingle hashes breaks up their order; a second
 circularly by a fixed step per coordinate, gives coordinate k as the minimum over a
 document's shingles.  With 26 bands of five coordinates, a pair at similarity 0.85 shares no
 band once in four million times.  Pairs that share one are compared by a byte of each
-coordinate (a pair at 0.85 falls below the limit once in a thousand million times) and then
+coordinate (a pair at 0.85 falls below the limit once in ten million times) and then
 by their whole shingle sets, which alone decide.
 
 Equal sets are one node.  Every node of a bucket is first held against the bucket's
 leader; whoever is linked needs no further comparison with its own component, so a large group
 of near-copies takes about one pair per member.  What is left in other components visits
-all of its bucket, in blocks of bounded size.
+all of its bucket, in blocks of bounded size: first by signatures, then, in the first bucket
+of each likely pair only, by whole sets.  A block returns links that connect, not all pairs.
 """
 
 from __future__ import annotations
@@ -29,10 +30,9 @@ from mastline.llm.components import components
 SHINGLE = 3
 PERCENT = 85  # of the union that the intersection has to reach
 BANDS, ROWS = 26, 5
-LIKELY = 0.62  # share of equal signature bytes below which no pair of the wanted similarity falls
-BLOCK_ROWS = 8192  # nodes of a bucket that are held at once
+LIKELY = 0.66  # share of equal signature bytes below which no pair of the wanted similarity falls
+BLOCK_SHINGLES = 1 << 21  # of a bucket that are held at once
 PAIRS_OF_SET = 512  # comparisons for which a set is sent once
-FIRST, WIDER = 4, 16  # neighbours of a node that the first round tries, and the growth of that number
 _STEP = 0x9E3779B97F4A7C15  # of the circular shift
 _OTHER = np.uint64(0xA0761D6478BD642F)
 _TABLE = byte_table(lower=True)
@@ -117,12 +117,10 @@ def signed_documents(docs: DataFrame, shingle: int, bands: int, rows: int) -> Da
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n, sketch, held): nodes by the band keys that several nodes have, and how many."""
+    """(bucket, node): nodes by the band keys that several nodes have."""
     placed = nodes.select(F.explode("bands").alias("bucket"), "node")
     held = placed.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
-    held = written(held, "buckets")
-    rows = placed.join(sized(held), "bucket")
-    return rows.join(nodes.select("node", "n", "sketch"), "node").select("bucket", "node", "n", "sketch", "held")
+    return placed.join(sized(written(held.select("bucket"), "buckets")), "bucket")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -134,14 +132,16 @@ def _may(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
 
-def leader_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def leader_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b): every node of a bucket with the bucket's first node, where sizes and signatures allow a link.
 
-    Leaders are found by a map-side combined minimum and joined back, so no bucket has to meet in one task.
+    Leaders are found by a map-side combined minimum and joined back, so no bucket has to meet in
+    one task.  Sizes and signatures are brought to pairs that several buckets may have named just once.
     """
-    lead = rows.groupBy("bucket").agg(F.min(F.struct("node", "n", "sketch")).alias("lead"))
-    both = rows.join(lead, "bucket").where("node != lead.node")
-    both = both.select("lead.node", "node", "lead.n", "n", "lead.sketch", "sketch").toDF("a", "b", "na", "nb", "sa", "sb")
+    lead = rows.groupBy("bucket").agg(F.min("node").alias("a"))
+    pairs = rows.join(lead, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    small = nodes.select("node", "n", "sketch")
+    both = pairs.join(small.toDF("a", "na", "sa"), "a").join(small.toDF("b", "nb", "sb"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -151,100 +151,169 @@ def leader_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 good = _may(na, nb, percent) & ((_matrix(b.column(4)) == _matrix(b.column(5))).mean(1) >= LIKELY)
                 yield b.select(["a", "b"]).filter(pa.array(good))
 
-    return mapped(both, run, "a long, b long").distinct()
+    return mapped(both.select("a", "b", "na", "nb", "sa", "sb"), run, "a long, b long").distinct()
 
 
-def visits(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """What is still to be compared: (bucket, block, guest, node, n, sketch, part, small).
+def visits(rows: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """What is still to be compared: (bucket, block, guest, node, part, small, n, bands, sketch).
 
     ``parts`` (node, part) has the linked nodes.  Only buckets with several parts are left.  Each
-    node lies in a block of its bucket; nodes outside the bucket's largest part (``small``) are also
-    guests in every block.
+    node lies in a block of its bucket, which holds BLOCK_SHINGLES or so; nodes outside the
+    bucket's largest part (``small``) are also guests in every block.
     """
     named = rows.join(sized(parts), "node", "left").withColumn("part", F.coalesce("part", "node"))
     sizes = named.groupBy("bucket", "part").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "part")).alias("main"), F.count("*").alias("parts"))
     main = written(main.where("parts > 1").select("bucket", F.col("main.part").alias("main")), "open")
-    left = named.join(sized(main), "bucket").withColumn("blocks", F.ceil(F.col("held") / BLOCK_ROWS).cast("int"))
-    left = left.withColumn("small", F.col("part") != F.col("main"))
-    out = ["bucket", "block", "guest", "node", "n", "sketch", "part", "small"]
+    left = named.join(sized(main), "bucket").join(nodes.select("node", "n", "bands", "sketch"), "node")
+    left = left.where(F.array_contains("bands", F.col("bucket")))  # a doc_id given to several texts names several sets
+    left = written(left.withColumn("small", F.col("part") != F.col("main")).drop("main"), "left")
+    weight = left.groupBy("bucket").agg(F.ceil(F.sum(F.col("n") + 256) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    large = sized(written(weight.where("blocks > 1"), "large"))
+    left = left.join(large, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    out = ["bucket", "block", "guest", "node", "part", "small", "n", "bands", "sketch"]
     own = left.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "guest": F.lit(False)})
     guests = left.where("small").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "guest": F.lit(True)})
     return own.select(*out).unionByName(guests.select(*out))
 
 
-def neighbours(rows: DataFrame, low: int, high: int, percent: int) -> DataFrame:
-    """(a, b): guests b with the ``low``-th to ``high - 1``-th likely neighbour a of another part in each block.
+def _by_block(batches: Iterator[pa.RecordBatch], make, visit, leave) -> Iterator[pa.RecordBatch]:
+    """Residents of each block through ``make``, its guests as they come through ``visit(home, guests)``, then ``leave(home)``.
 
-    A guest that has more of them gives a row (b, b) besides.
+    Rows are sorted by bucket, block and guest.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, home = None, None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            k = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            cuts = [0, *(i for i in range(1, len(k)) if k[i] != k[i - 1]), len(k)]
-            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                part = b.slice(s, e - s)
-                if k[s] != key:
-                    key, home = k[s], None
-                guest = part.column(2).to_numpy(zero_copy_only=False)
-                m = int((~guest).sum())
-                if m:
-                    here = _Nodes(part.slice(0, m))
-                    home = here if home is None else home.with_more(here)
-                if home is not None and m < len(guest):
-                    yield from _tried(home, _Nodes(part.slice(m)), low, high, percent)
-
-    ordered = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest", "n", "node")
-    return mapped(ordered, run, "a long, b long").distinct()
+    key, held, home = None, [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        bucket, block = (b.column(i).to_numpy() for i in (0, 1))
+        change = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if (bucket[s], block[s]) != key:
+                if home is not None:
+                    yield from leave(home)
+                key, held, home = (bucket[s], block[s]), [], None
+            part = b.slice(s, e - s)
+            m = int((~part.column(2).to_numpy(zero_copy_only=False)).sum())
+            if m:
+                held.append(part.slice(0, m))
+            if m < e - s and held:
+                home = home or make(held)
+                yield from visit(home, part.slice(m))
+    if home is not None:
+        yield from leave(home)
 
 
 class _Nodes:
     """Rows of ``visits`` as arrays."""
 
-    def __init__(self, b: pa.RecordBatch):
-        self.node, self.n, self.part = (b.column(i).to_numpy() for i in (3, 4, 6))
-        self.small = b.column(7).to_numpy(zero_copy_only=False)
-        self.sketch = _matrix(b.column(5))
-
-    def with_more(self, other: _Nodes) -> _Nodes:
-        for f in ("node", "n", "part", "small", "sketch"):
-            setattr(self, f, np.concatenate([getattr(self, f), getattr(other, f)]))
-        return self
-
-
-def _tried(home: _Nodes, guests: _Nodes, low: int, high: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """The pairs of ``neighbours`` for some guests of a block; residents are looked through in order until each guest has enough."""
-    for at in range(0, len(guests.node), 64):
-        rows = np.arange(at, min(at + 64, len(guests.node)))
-        seen = np.zeros(len(rows), np.int64)
-        for first in range(0, len(home.node), 256):
-            if not len(rows):
-                break
-            cols = slice(first, first + 256)
-            # Two small nodes are each other's guests: one of the two comparisons is enough.
-            fit = ~home.small[None, cols] | (home.node[None, cols] < guests.node[rows, None])
-            fit &= (home.part[None, cols] != guests.part[rows, None]) & _may(home.n[None, cols], guests.n[rows, None], percent)
-            i, j = np.nonzero(fit)
-            near = (home.sketch[cols][j] == guests.sketch[rows[i]]).mean(1) >= LIKELY if len(i) else np.zeros(0, bool)
-            i, j = i[near], j[near]
-            start = np.searchsorted(i, np.arange(len(rows)))
-            place = seen[i] + np.arange(len(i)) - start[i]
-            now = (place >= low) & (place < high)
-            if now.any():
-                yield _pair_batch(home.node[cols][j[now]], guests.node[rows[i[now]]])
-            seen += np.bincount(i, minlength=len(rows))
-            if (done := seen > high).any():
-                more = guests.node[rows[done]]
-                yield _pair_batch(more, more)
-                rows, seen = rows[~done], seen[~done]
-
-
-def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    def __init__(self, rows: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(rows)
+        self.rows = table.select(["bucket", "block", "guest", "node", "part", "small"])
+        self.node, self.part, self.n = (table.column(c).to_numpy() for c in ("node", "part", "n"))
+        self.small = table.column("small").to_numpy()
+        self.bands = np.array(table.column("bands").to_pylist(), np.int64)
+        self.sketch = _matrix(table.column("sketch"))
+        self.band = np.flatnonzero(self.bands[0] == table.column("bucket")[0].as_py())[0]
+        self.near = np.zeros(len(self.node), bool)
+
+
+def _strangers(home, guests, rows: np.ndarray, cols: slice, percent: int) -> np.ndarray:
+    """Which residents each guest is to be held against: of another part and a size that fits.
+
+    Two small nodes are each other's guests: one of the two comparisons is enough.
+    """
+    fit = ~home.small[None, cols] | (home.node[None, cols] < guests.node[rows, None])
+    return fit & (home.part[None, cols] != guests.part[rows, None]) & _may(home.n[None, cols], guests.n[rows, None], percent)
+
+
+def likely_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """(bucket, block, guest, node, part, small): rows of ``visits`` with a likely link of which theirs is the first bucket."""
+
+    def visit(home: _Nodes, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        guests = _Nodes([batch])
+        for at in range(0, len(guests.node), 64):
+            some = np.arange(at, min(at + 64, len(guests.node)))
+            for first in range(0, len(home.node), 256):
+                cols = slice(first, first + 256)
+                i, j = np.nonzero(_strangers(home, guests, some, cols, percent))
+                i, j = some[i], j + first
+                near = (home.sketch[j] == guests.sketch[i]).mean(1) >= LIKELY if len(i) else np.zeros(0, bool)
+                i, j = i[near], j[near]
+                # The pair counts in the first of the buckets it shares.
+                mine = (home.bands[j] == guests.bands[i]).argmax(1) == home.band if len(i) else np.zeros(0, bool)
+                guests.near[i[mine]] = home.near[j[mine]] = True
+        yield from guests.rows.filter(pa.array(guests.near)).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_block(batches, _Nodes, visit, lambda home: home.rows.filter(pa.array(home.near)).to_batches())
+
+    ordered = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
+    return mapped(ordered, run, "bucket long, block int, guest boolean, node long, part long, small boolean")
+
+
+class _Sets:
+    """Rows of ``likely_rows`` with their sets, as one sorted array of shingles with the row of each."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(rows)
+        self.node, self.part = (table.column(c).to_numpy() for c in ("node", "part"))
+        self.small = table.column("small").to_numpy()
+        self.sets = [np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()]
+        self.n = np.array([len(x) for x in self.sets], np.int64)
+        self.group = {p: p for p in self.part.tolist()}
+
+    def sort(self) -> None:
+        owner = np.repeat(np.arange(len(self.n)), self.n)
+        every = np.concatenate(self.sets)
+        order = np.argsort(every, kind="stable")
+        self.shingle, self.owner = every[order], owner[order]
+
+    def shared(self, h: np.ndarray) -> np.ndarray:
+        """How many shingles each row has in common with a set."""
+        low, high = np.searchsorted(self.shingle, h, "left"), np.searchsorted(self.shingle, h, "right")
+        many = high - low
+        at = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+        return np.bincount(self.owner[at], minlength=len(self.n))
+
+    def root(self, part: int) -> int:
+        group = self.group
+        while (up := group.setdefault(part, part)) != part:
+            group[part] = group[up]
+            part = group[part]
+        return part
+
+
+def visited(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between the parts of ``likely_rows``, by whole sets; those that connect, not all pairs."""
+
+    def make(held: list[pa.RecordBatch]) -> _Sets:
+        home = _Sets(held)
+        home.sort()
+        return home
+
+    def visit(home: _Sets, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        guests, pairs = _Sets([batch]), []
+        for g in range(len(guests.node)):
+            fit = _strangers(home, guests, np.array([g]), slice(None), percent)[0]
+            if not fit.any():
+                continue
+            both = home.shared(guests.sets[g])
+            for j in np.flatnonzero(fit & (100 * both >= percent * (home.n + guests.n[g] - both))).tolist():
+                one, two = home.root(int(home.part[j])), home.root(int(guests.part[g]))
+                if one != two:
+                    home.group[max(one, two)] = min(one, two)
+                    pairs.append((int(home.node[j]), int(guests.node[g])))
+        if pairs:
+            a, b = zip(*pairs, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_block(batches, make, visit, lambda home: ())
+
+    full = rows.join(sets, "node").select("bucket", "block", "guest", "node", "part", "small", "h")
+    return mapped(full.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest"), run, "a long, b long")
 
 
 def node_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -304,22 +373,13 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def linked_parts(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, part) of every node that is linked, over one or more links, to another."""
     rows = written(shared_buckets(nodes), "shared")
-
-    def parts_of(links: DataFrame) -> DataFrame:
-        return written(components(links).select("node", F.col("component").alias("part")), "parts")
-
-    links = written(verified(written(leader_pairs(rows, percent), "pairs"), docs, shingle, percent), "links")
-    parts, low, high = parts_of(links), 0, FIRST
-    while True:
-        tried = written(neighbours(visits(rows, parts), low, high, percent), "pairs")
-        pairs = tried.where("a != b")
-        if not pairs.isEmpty():
-            links = written(links.union(verified(pairs, docs, shingle, percent)), "links")
-            parts = parts_of(links)
-        if tried.where("a = b").isEmpty():
-            return parts
-        # Parts that have met leave a guest's list, so the next round begins anew, further in.
-        low, high = 0, high * WIDER
+    pairs = written(leader_pairs(rows, nodes, percent), "pairs")
+    led = written(verified(pairs, docs, shingle, percent), "led")
+    parts = written(components(led).select("node", F.col("component").alias("part")), "parts")
+    likely = written(likely_rows(visits(rows, nodes, parts), percent), "likely")
+    sets = node_sets(docs, written(likely.select("node").distinct(), "ends"), shingle)
+    links = led.union(written(visited(likely, sets, percent), "links"))
+    return written(components(links).select("node", F.col("component").alias("part")), "parts")
 
 
 def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

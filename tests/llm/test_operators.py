@@ -175,11 +175,11 @@ def chained(n=70, words=150, seed=77):
     return rows + [(1000 + i, f"{common} {prose(20, 4000 + i)}") for i in range(40)]
 
 
-def test_circulant_blocks_and_rounds_change_nothing(docs, monkeypatch):
+def test_circulant_blocks_change_nothing(docs, monkeypatch):
     rows = chained()
     want = by_sets(rows)
     assert 3 < len(set(want.values())) < len(want)
-    for values in ({}, {"BLOCK_ROWS": 5}, {"FIRST": 1, "WIDER": 2, "PAIRS_OF_SET": 2}, {"BLOCK_ROWS": 7, "FIRST": 1, "WIDER": 2}):
+    for values in ({}, {"BLOCK_SHINGLES": 1500}, {"BLOCK_SHINGLES": 400, "PAIRS_OF_SET": 2}):
         with monkeypatch.context() as m:
             for k, v in values.items():
                 m.setattr(circulant, k, v)
@@ -193,7 +193,7 @@ def test_a_large_group_takes_a_few_pairs_per_member(docs, spark):
     rows = many + other
     nodes = circulant.signed_documents(docs(rows), 3, circulant.BANDS, circulant.ROWS).selectExpr("doc_id as node", "n", "bands", "sketch")
     shared = circulant.shared_buckets(nodes)
-    assert circulant.leader_pairs(shared, 85).count() < 3 * circulant.BANDS * len(rows)
+    assert circulant.leader_pairs(shared, nodes, 85).count() < 3 * circulant.BANDS * len(rows)
     assert by_id(circulant.near_duplicate_groups(docs(rows)), "component_id") == by_sets(rows)
 
 
@@ -206,6 +206,16 @@ def test_circulant_decides_by_row_and_document(docs):
     assert got == want
 
 
+def test_circulant_takes_a_doc_id_with_several_texts(docs):
+    rows = chained(40)
+    twice = rows + [(i, t) for (i, _), (_, t) in zip(rows[:30], chained(40, seed=78)[:30], strict=True)] + [(k, prose(80, 900 + k)) for k in range(5)]
+    texts = list(enumerate(t for _, t in twice))
+    sets, ids = sets_of(texts, 3), [i for i, _ in twice]
+    alike = {(ids[x], ids[y]) for x, a in sets.items() for y, b in sets.items() if 100 * len(a & b) >= 85 * len(a | b)}
+    want = grouped_by(sorted(set(ids)), lambda i, j: (i, j) in alike)
+    assert by_id(circulant.near_duplicate_groups(docs(twice)), "component_id") == want
+
+
 def test_circulant_signatures_estimate_similarity():
     rng = np.random.RandomState(1)
     pool = rng.randint(0, 1 << 62, 3000).astype(np.uint64)
