@@ -18,7 +18,7 @@ from mastline.operators import checks, clean, dedup, kinds, ledger, rollups
 from mastline.plans.engine import Engine
 from mastline.schemas import BRONZE_SCHEMA
 from mastline.session import scratch_path
-from mastline.sinks.tables import DatedTable
+from mastline.sinks.tables import DatedTable, all_equal, union_evolved
 from mastline.sources import calendar, drops
 from mastline.sources.adapters import faulty_readings, readings, write_drops
 
@@ -286,6 +286,89 @@ def unknown_table_empty(spark, folder):
     return rows.unionByName(Engine(spark, base, base).read_table("mine.none"), allowMissingColumns=True)
 
 
+def _lake(spark):
+    base = scratch_path(spark, "lake")
+    return Engine(spark, base, base), Engine(spark, base, base)  # one writes, another reads
+
+
+@query(
+    "overwrite_by_filter",
+    f"""WITH {_R} SELECT seq, region, data_volume_mb, execution_date AS day FROM r WHERE region <> 'click'
+UNION ALL SELECT -seq, region, data_volume_mb + 1, execution_date FROM r WHERE region = 'click' AND seq % 2 = 0""",
+)
+def overwrite_by_filter(spark, folder):
+    """Rows of one region, which is no partition column, are replaced over all days."""
+    writer, reader = _lake(spark)
+    rows = readings(spark, folder).select("seq", "region", "data_volume_mb", F.col("_execution_date").alias("day"))
+    writer.write_table("mine.by_day", rows, "day")
+    clicks = rows.where("region = 'click' and seq % 2 = 0").withColumns({"seq": -F.col("seq"), "data_volume_mb": F.col("data_volume_mb") + 1})
+    writer.write_table("mine.by_day", clicks, where={"region": "click"})
+    return reader.read_table("mine.by_day")
+
+
+@query(
+    "two_partition_columns",
+    f"""WITH {_R} SELECT seq, region, execution_date AS day, NULL::VARCHAR AS note FROM r
+WHERE NOT (region = 'click' AND execution_date = (SELECT MAX(execution_date) FROM r)) AND region <> 'error'
+UNION ALL SELECT seq, region, execution_date, 'again' FROM r
+WHERE region = 'click' AND execution_date = (SELECT MAX(execution_date) FROM r)""",
+)
+def two_partition_columns(spark, folder):
+    """One pair of partition values is replaced by rows with a new column, all pairs of one value are deleted."""
+    writer, reader = _lake(spark)
+    rows = readings(spark, folder).select("seq", "region", F.col("_execution_date").alias("day"))
+    writer.append_table("mine.pairs", rows, ["region", "day"])
+    one = {"region": "click", "day": _dates_of(readings(spark, folder))[-1]}
+    again = rows.where(all_equal(one)).withColumn("note", F.lit("again"))
+    writer.write_table("mine.pairs", again, ["region", "day"], where=one)
+    writer.delete_rows("mine.pairs", {"region": "error"})
+    return reader.read_table("mine.pairs")
+
+
+@query(
+    "unpartitioned_append",
+    f"""WITH {_R} SELECT seq, region, CASE WHEN seq % 2 = 0 THEN data_volume_mb END AS data_volume_mb FROM r
+WHERE NOT (seq % 2 = 0 AND region = 'view')""",
+)
+def unpartitioned_append(spark, folder):
+    """A table without partition columns, appended to with a new column, and some of its rows deleted."""
+    writer, reader = _lake(spark)
+    rows = readings(spark, folder).select("seq", "region", "data_volume_mb")
+    writer.append_table("mine.rows", rows.where("seq % 2 = 0"))
+    writer.delete_rows("mine.rows", {"region": "view"})
+    writer.append_table("mine.rows", rows.where("seq % 2 = 1").drop("data_volume_mb"))
+    return reader.read_table("mine.rows")
+
+
+@query(
+    "typed_key_values",
+    f"""WITH {_R_TIMED}, k AS (
+  SELECT 'hour' AS kind, seq, CAST(event_hour AS VARCHAR) AS part FROM g WHERE event_hour <> 3 OR seq % 2 = 0
+  UNION ALL
+  SELECT 'name', seq, CASE region WHEN 'view' THEN 'North West' WHEN 'click' THEN 'a/b: 5%, {{c}}' WHEN 'error' THEN NULL ELSE region END
+  FROM g WHERE region NOT IN ('view', 'error', 'click') OR seq % 2 = 0)
+SELECT * FROM k""",
+)
+def typed_key_values(spark, folder):
+    """Partition values that are whole numbers, missing, or text that a path can't hold as it is; some replaced, some read alone."""
+    writer, reader = _lake(spark)
+    rows = _timed(spark, folder)
+    hours = rows.select("seq", F.col("event_hour").alias("part"))
+    writer.write_table("mine.hours", hours, "part")
+    writer.write_table("mine.hours", hours.where("part = 3 and seq % 2 = 0"), "part", [3])
+    odd = F.when(F.col("region") == "view", "North West").when(F.col("region") == "click", "a/b: 5%, {c}")
+    names = rows.select("seq", odd.when(F.col("region") != "error", F.col("region")).alias("part"))
+    writer.write_table("mine.names", names, "part")
+    replaced = ["North West", "a/b: 5%, {c}", None]
+    half = names.where((F.col("part").isin(replaced[:2]) | F.col("part").isNull()) & (F.col("seq") % 2 == 0))
+    writer.write_table("mine.names", half, "part", replaced)
+    alone = [reader.read_table("mine.names", {"part": part}) for part in replaced]
+    rest = reader.read_table("mine.names").where(~F.col("part").isin(replaced[:2]))
+    parts = [reader.read_table("mine.hours").withColumn("part", F.col("part").cast("string")), rest, *alone]
+    kinds_ = ["hour", *["name"] * 4]
+    return union_evolved([p.select(F.lit(k).alias("kind"), "seq", "part") for k, p in zip(kinds_, parts, strict=True)])
+
+
 @query(
     "delete_rows",
     f"{_STORED} WHERE NOT (region = 'click' AND execution_date = (SELECT MAX(execution_date) FROM r))",

@@ -30,7 +30,7 @@ from mastline.functions.clock import utc_now
 from mastline.operators import checks, clean, kinds, rollups
 from mastline.session import size_shuffles, small_frame
 from mastline.sinks.ledger import RunLedger
-from mastline.sinks.tables import DatedTable, all_equal
+from mastline.sinks.tables import DatedTable, LayoutConflictError, all_equal
 from mastline.sources import calendar, drops
 
 _NAME = re.compile(r"\w+(\.\w+)*")
@@ -216,28 +216,63 @@ class Engine:
             return self.ledger.state().where(all_equal(filters or {}))
         return self._table(name).read(filters)
 
-    def write_table(self, name: str, df: DataFrame, key: str, values: list[str] | None = None) -> dict[str, int]:
-        """Make ``df`` the whole content of its values of ``key``, the partition column; returns rows per value.
-
-        ``values`` names them, also those that ``df`` has no rows for and that are emptied;
-        otherwise they are looked up, one row per partition.  Other partitions stay.
+    def write_table(
+        self,
+        name: str,
+        df: DataFrame,
+        key: str | list[str] | None = None,
+        values: list | None = None,
+        where: dict | None = None,
+    ) -> dict:
+        """Write ``df`` into a table of any name, made with the partition columns ``key`` if there is none.
+
+        An existing table keeps its partition columns; naming others is refused.
+
+        With ``where`` the rows meeting all of its equality conditions, on any columns, are
+        deleted first.  Without it and with one partition column, ``df`` becomes the whole
+        content of its values of that column; ``values`` names them, also those that ``df`` has
+        no rows for and that are emptied (otherwise they are looked up, one row per
+        partition).  Returns rows per value in that case.  Other partition columns need ``where``
+        or ``append_table``.
         """
-        if name == LEDGER:
-            raise ValueError(f"{name} is only written by runs")
-        table = self._table(name, key)
-        if table.key != key:
-            raise ValueError(f"{name} is partitioned by {table.key}, not {key}")
+        table = self._writable(name, key)
+        if where is not None:
+            table.overwrite(df, where)
+            return {}
+        if table.key is None:
+            raise ValueError(f"{name} has not one partition column: name the rows to replace, or append")
         if values is None:
-            values = [r[0] for r in df.select(key).distinct().collect()]
+            values = [r[0] for r in df.select(table.key).distinct().collect()]
         return table.replace(df, values) if values else {}
 
-    def _table(self, name: str, key: str | None = None) -> DatedTable:
+    def append_table(self, name: str, df: DataFrame, key: str | list[str] | None = None) -> None:
+        """Add rows to a table of any name; nothing is deleted."""
+        self._writable(name, key).append(df)
+
+    def delete_rows(self, name: str, where: dict) -> None:
+        """Delete a table's rows meeting every filter."""
+        if name == LEDGER:
+            raise ValueError(f"{name} is only written by runs")
+        self._table(name).delete(where)
+
+    def _writable(self, name: str, key: str | list[str] | None) -> DatedTable:
+        if name == LEDGER:
+            raise ValueError(f"{name} is only written by runs")
+        keys = [key] if isinstance(key, str) else list(key or [])
+        table = self._table(name, keys)
+        if key is not None and table.keys != keys:
+            raise LayoutConflictError(f"{name} is partitioned by {table.keys or 'nothing'}, not {keys or 'nothing'}")
+        return table
+
+    def _table(self, name: str, keys: list[str] | None = None) -> DatedTable:
         if name in self.tables:
             return self.tables[name]
         if not _NAME.fullmatch(name):
             raise ValueError(f"not a table name: {name!r}")
-        table = DatedTable(self.spark, self._path(name), key)
-        if key is not None:
+        table = DatedTable(self.spark, self._path(name))
+        if table.schema() is None:  # else its log knows the layout
+            table.keys = keys or []
+        if keys is not None:
             self.tables[name] = table
         return table
 

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mastline.sinks.tables import DatedTable, SchemaConflictError, union_evolved
+from mastline.sinks.files import partition_folder
+from mastline.sinks.tables import DatedTable, LayoutConflictError, SchemaConflictError, union_evolved
 
 SHAPE = "k int, v string, d string"
 
@@ -156,3 +157,95 @@ def test_spread_keeps_related_rows_together(spark, table):
 def test_union_evolved(rows):
     out = union_evolved([rows((1, "a", "d1")), rows((2, "d2"), shape="k int, d string"), rows((3, 0.5, "d3"), shape="k int, z double, d string")])
     assert sorted((r.k, r.v, r.z) for r in out.collect()) == [(1, "a", None), (2, None, None), (3, None, 0.5)]
+
+
+# -- rows chosen by a filter, several partition columns or none ------------------
+
+
+def parquet_files(table):
+    return {f for f in table.files.files() if f.endswith(".parquet")}
+
+
+def test_overwrite_by_filter_writes_only_touched_files_again(table, rows):
+    for date in ("d1", "d2", "d3"):
+        table.replace(rows((1, "a", date), (2, "b", date)).coalesce(1), [date])
+    table.replace(rows((3, "c", "d4")), ["d4"])
+    before = parquet_files(table)
+    table.overwrite(rows((9, "new", "d2")), {"v": "a"})
+    assert content(table, "k", "v", "d") == [(2, "b", "d1"), (2, "b", "d2"), (2, "b", "d3"), (3, "c", "d4"), (9, "new", "d2")]
+    same = before & parquet_files(table)
+    assert {f.split("/")[0] for f in same} == {"d=d4"}
+    table.delete({"k": 3, "v": "x"})  # nothing meets both
+    assert same <= parquet_files(table) and table.read().count() == 5
+
+
+def test_filters_on_missing_values(table, rows):
+    table.append(rows((1, None, "d1"), (2, "b", "d1"), (None, "c", None)))
+    table.overwrite(rows((7, "z", "d9")), {"v": None})
+    assert table.read({"d": None}).count() == table.read(dates=[None]).count() == 1
+    table.delete({"k": None})
+    assert content(table, "k", "v", "d") == [(2, "b", "d1"), (7, "z", "d9")]
+
+
+def test_delete_without_filters_empties_the_table(table, rows):
+    table.append(rows((1, "a", "d1"), (2, "b", "d2")))
+    table.delete({})
+    assert content(table) == [] and table.schema().names == ["k", "v", "d"]
+    table.append(rows((3, "c", "d1")))
+    assert content(table, "k") == [(3,)]
+
+
+@pytest.mark.parametrize("keys", [[], ["d", "v"]])
+def test_layouts(spark, tmp_path, rows, keys):
+    table = DatedTable(spark, str(tmp_path / "t"), keys)
+    table.append(rows((1, "a", "d1"), (2, "b b", "d1")))
+    table.append(rows((3, "a", "d2")))
+    table.overwrite(rows((9, "a", "d1")), {"d": "d1", "v": "a"})
+    other = DatedTable(spark, table.path)
+    assert content(other, "k", "v", "d") == [(2, "b b", "d1"), (3, "a", "d2"), (9, "a", "d1")] and other.keys == keys
+    with pytest.raises(LayoutConflictError):
+        table.replace(rows((1, "a", "d1")), ["d1"])
+    with pytest.raises(LayoutConflictError):
+        DatedTable(spark, table.path, ["k"]).append(rows((1, "a", "d1")))
+    with pytest.raises(ValueError, match="no column nope"):
+        table.delete({"nope": 1})
+
+
+def test_partition_column_has_to_be_there(table, rows):
+    with pytest.raises(SchemaConflictError, match="no partition column d"):
+        table.append(rows((1, "a"), shape="k int, v string"))
+
+
+@pytest.mark.parametrize("value", [5, None, True, "North West", "a,b", "50% {x}", "x=y/z", "é'\"", 1.5])
+def test_values_of_any_kind(spark, tmp_path, value):
+    kind = {int: "int", bool: "boolean", float: "double"}.get(type(value), "string")
+    other = {"int": 6, "boolean": False, "double": 2.5}.get(kind, "other")
+    table = DatedTable(spark, str(tmp_path / "t"), "p")
+    shape = f"n int, p {kind}"
+    table.replace(spark.createDataFrame([(1, value), (2, other)], shape), [value, other])
+    assert table.replace(spark.createDataFrame([(3, value)], shape), [value]) == {value: 1}
+    assert [tuple(r) for r in DatedTable(spark, table.path, "p").read({"p": value}).collect()] == [(3, value)]
+    assert table.replace(spark.createDataFrame([], shape), [value]) == {value: 0}
+    assert content(table) == [(2, other)]
+
+
+def test_partition_folders_are_spelled_as_spark_does(spark, tmp_path):
+    odd = ["a b", "x:y", "50%", "{c}", "q?", "tab\there", "é", "a,b", None, ""]
+    spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "n int, p string").write.partitionBy("p").parquet(str(tmp_path / "t"))
+    assert {f.name for f in (tmp_path / "t").iterdir() if f.is_dir()} == {partition_folder("p", v) for v in odd}
+
+
+def test_an_exchange_cut_short_is_ended_by_the_next_use(spark, table, rows, monkeypatch):
+    table.append(rows((1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2")))
+    other = DatedTable(spark, table.path, "d")
+    with monkeypatch.context() as m:
+        m.setattr(table.files, "move", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            table.overwrite(rows((9, "z", "d2")), {"v": "a"})
+    assert content(other, "k", "d") == [(2, "d1"), (3, "d2"), (9, "d2")]
+    assert not [f for f in table.files.files() if f.startswith("_staged")] and not table.files.exists("_pending")
+    with monkeypatch.context() as m:  # before the exchange is recorded nothing has happened
+        m.setattr(DatedTable, "_writer", lambda *_: (_ for _ in ()).throw(OSError("full")))
+        with pytest.raises(OSError, match="full"):
+            table.overwrite(rows((7, "z", "d2")), {"v": "b"})
+    assert content(other, "k", "d") == [(2, "d1"), (3, "d2"), (9, "d2")]
