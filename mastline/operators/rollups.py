@@ -1,4 +1,10 @@
-"""The three gold aggregates, each for any number of dates in one plan."""
+"""The three gold aggregates, each for any number of dates in one plan.
+
+Rows are folded into states per region, hour and tower (or as few of these as an aggregate
+needs); states of a finer grain merge into those of a coarser one, so all three
+aggregates can share one scan.  A state has one row per tower, which makes tower counts exact
+and spreads a hot region over its towers.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +12,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mastline.constants import DAILY, FACT, HOURLY
-from mastline.functions.numeric import StableSum, nan_to_null, round_half_even
+from mastline.functions.numeric import Moments, nan_to_null, round_half_even
 
-_SIGNAL = StableSum("signal_strength")
-_VOLUME = StableSum("data_volume_mb")
+_SIGNAL = Moments("signal_strength", squares=True)
+_PLAIN_SIGNAL = Moments("signal_strength")  # for aggregates without a deviation
+_VOLUME = Moments("data_volume_mb")
+_DATE = "execution_date"
 
 
-def _prepared(df: DataFrame, keys: list[str], columns: list[str], date_column: str) -> DataFrame:
-    """Only the needed columns, keys present, metrics NaN-free with exact forms."""
+def states(df: DataFrame, keys: list[str], whole: list[str], date_column: str = "_execution_date", signal: Moments = _SIGNAL) -> DataFrame:
+    """One row per ``keys`` and date with the mergeable state of all measures; rows without a key of ``whole`` are left out."""
     needed = df.select(
-        F.col(date_column).alias("execution_date"),
-        *columns,
+        F.col(date_column).alias(_DATE),
+        *keys,
+        "timestamp",
         nan_to_null(F.col("signal_strength").cast("double")).alias("signal_strength"),
         nan_to_null(F.col("data_volume_mb").cast("double")).alias("data_volume_mb"),
     )
-    for key in keys:  # unlike dropna, these reach the Parquet scan
+    for key in whole:  # unlike dropna, these reach the Parquet scan
         needed = needed.where(F.col(key).isNotNull())
-    return _VOLUME.prepare(_SIGNAL.prepare(needed))
+    extremes = [F.min("signal_strength").alias("low"), F.max("signal_strength").alias("high")] if signal.squares else []
+    return (
+        _VOLUME.prepare(signal.prepare(needed))
+        .groupBy(*keys, _DATE)
+        .agg(*signal.state(), *_VOLUME.state(), *extremes, F.count("timestamp").alias("readings"))
+    )
+
+
+def _merged(finer: DataFrame, keys: list[str], signal: Moments, *more: Column) -> DataFrame:
+    """States of a coarser grain."""
+    extremes = [F.min("low").alias("low"), F.max("high").alias("high")] if signal.squares else []
+    return finer.groupBy(*keys, _DATE).agg(
+        *signal.merge(), *_VOLUME.merge(), *extremes, F.sum("readings").alias("readings"), *more
+    )
 
 
 def _total_volume() -> Column:
@@ -34,67 +56,57 @@ def _mean_signal() -> Column:
     return round_half_even(_SIGNAL.mean(), 4).alias("avg_signal_strength")
 
 
-def fact_snapshot(df: DataFrame, date_column: str = "_execution_date") -> DataFrame:
-    """One row per tower, region and execution date."""
-    signal = F.col("signal_strength")
-    return (
-        _prepared(df, ["tower_id", "region"], ["tower_id", "region", "timestamp"], date_column)
-        .groupBy("tower_id", "region", "execution_date")
-        .agg(
-            _mean_signal(),
-            round_half_even(F.min(signal), 4).alias("min_signal_strength"),
-            round_half_even(F.max(signal), 4).alias("max_signal_strength"),
-            round_half_even(nan_to_null(F.stddev_samp(signal)), 4).alias("stddev_signal_strength"),
-            _total_volume(),
-            round_half_even(_VOLUME.mean(), 2).alias("avg_data_volume_mb"),
-            F.count("timestamp").alias("reading_count"),
-        )
-        .select(
-            "tower_id",
-            "region",
-            "avg_signal_strength",
-            "min_signal_strength",
-            "max_signal_strength",
-            "stddev_signal_strength",
-            "total_data_volume_mb",
-            "avg_data_volume_mb",
-            "reading_count",
-            "execution_date",
-        )
+def _fact(state: DataFrame) -> DataFrame:
+    return state.select(
+        "tower_id",
+        "region",
+        _mean_signal(),
+        round_half_even(F.col("low"), 4).alias("min_signal_strength"),
+        round_half_even(F.col("high"), 4).alias("max_signal_strength"),
+        round_half_even(_SIGNAL.deviation(), 4).alias("stddev_signal_strength"),
+        _total_volume(),
+        round_half_even(_VOLUME.mean(), 2).alias("avg_data_volume_mb"),
+        F.col("readings").alias("reading_count"),
+        _DATE,
     )
 
 
-def _rollup(df: DataFrame, keys: list[str], date_column: str) -> DataFrame:
-    # The exact tower count makes Spark aggregate by (keys, tower) first, which
-    # spreads a hot region over its towers; only partial rows meet per region.
-    return (
-        _prepared(df, keys, [*keys, "tower_id", "timestamp"], date_column)
-        .groupBy(*keys, "execution_date")
-        .agg(
-            _total_volume(),
-            _mean_signal(),
-            F.count_distinct("tower_id").alias("tower_count"),
-            F.count("timestamp").alias("record_count"),
-        )
-        .select(
-            *keys,
-            "total_data_volume_mb",
-            "avg_signal_strength",
-            "tower_count",
-            "record_count",
-            "execution_date",
-        )
+def _rollup(by_tower: DataFrame, keys: list[str], signal: Moments = _PLAIN_SIGNAL) -> DataFrame:
+    """A region rollup from states per ``keys`` and tower: as many towers as rows that name one."""
+    return _merged(by_tower, keys, signal, F.count("tower_id").alias("tower_count")).select(
+        *keys, _total_volume(), _mean_signal(), "tower_count", F.col("readings").alias("record_count"), _DATE
     )
 
 
+def fact_snapshot(df: DataFrame, date_column: str = "_execution_date") -> DataFrame:
+    """One row per tower, region and execution date."""
+    return _fact(states(df, ["tower_id", "region"], ["tower_id", "region"], date_column))
+
+
 def hourly_rollup(df: DataFrame, date_column: str = "_execution_date") -> DataFrame:
     """One row per region, UTC hour and execution date."""
-    return _rollup(df, ["region", "event_hour"], date_column)
+    keys = ["region", "event_hour"]
+    return _rollup(states(df, [*keys, "tower_id"], keys, date_column, _PLAIN_SIGNAL), keys)
 
 
 def daily_rollup(df: DataFrame, date_column: str = "_execution_date") -> DataFrame:
     """One row per region and execution date."""
-    return _rollup(df, ["region"], date_column)
+    return _rollup(states(df, ["region", "tower_id"], ["region"], date_column, _PLAIN_SIGNAL), ["region"])
+
+
+def base_states(df: DataFrame, date_column: str = "_execution_date") -> DataFrame:
+    """The states that all three aggregates follow from, by one scan of ``df``."""
+    return states(df, ["region", "event_hour", "tower_id"], ["region"], date_column)
+
+
+def from_base(base: DataFrame) -> dict[str, DataFrame]:
+    """The three aggregates from ``base_states``."""
+    by_tower = _merged(base, ["region", "tower_id"], _SIGNAL)
+    return {
+        FACT: _fact(by_tower.where(F.col("tower_id").isNotNull())),
+        HOURLY: _rollup(base.where(F.col("event_hour").isNotNull()), ["region", "event_hour"]),
+        DAILY: _rollup(by_tower, ["region"]),
+    }
 
 
 # Presentation order of each aggregate within a date.

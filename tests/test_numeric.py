@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mastline.functions.numeric import (
-    StableSum,
+    Moments,
     as_long,
     round_half_even,
     text_to_double,
@@ -64,11 +64,56 @@ def test_rounding_is_half_even_on_the_scaled_value(spark):
     assert got == list(np.round(np.array(values), 2))
 
 
-def stable(spark, values, partitions=3):
-    total = StableSum("v")
+def moments(spark, values, partitions=3, parts=1):
+    """Sum, mean and deviation, over ``parts`` states that are merged."""
+    m = Moments("v", squares=True)
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(partitions)
-    row = total.prepare(df).agg(total.sum().alias("s"), total.mean().alias("m")).first()
-    return row.s, row.m
+    states = m.prepare(df.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))).groupBy("part").agg(*m.state())
+    merged = states.agg(*m.merge()) if parts > 1 else states
+    return merged.select(m.sum().alias("s"), m.mean().alias("m"), m.deviation().alias("d")).first()
+
+
+def stable(spark, values, partitions=3):
+    return tuple(moments(spark, values, partitions))[:2]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [-83.25, -70.5, -91.125, -60.0],
+        [1e8 + k / 1000 for k in range(200)],  # a deviation far below the mean
+        [k / 3 for k in range(300)],
+        [5e-7, 7e-7, 6e-7],
+        [-120.0 + k * 0.01 for k in range(500)],
+        [123456.789, -123456.789],
+    ],
+)
+def test_deviation_is_that_of_a_sample(spark, values):
+    import statistics
+
+    want = statistics.stdev(Fraction(v) for v in values)
+    for parts in (1, 3):
+        got = moments(spark, values, 4, parts).d
+        assert got == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
+def test_deviation_has_equal_bits_in_any_order(spark):
+    rng = random.Random(7)
+    values = [rng.gauss(-80, 12) for _ in range(3000)]
+    seen = set()
+    for k in range(8):
+        rng.shuffle(values)
+        seen.add(tuple(moments(spark, values, 1 + k, 1 + k % 4)))
+    assert len(seen) == 1
+    (row,) = seen
+    assert row[2] == pytest.approx(np.std(values, ddof=1), rel=1e-12)
+
+
+def test_deviation_of_few_or_odd_values(spark):
+    assert moments(spark, [3.5]).d is None and moments(spark, [None]).d is None
+    assert moments(spark, [2.5, None, 2.5]).d == 0
+    assert moments(spark, [1.0, math.inf, 2.0]).d is None
+    assert moments(spark, [1e12, 3e12]).d == pytest.approx(2**0.5 * 1e12)
 
 
 def test_sum_is_exact_for_decimal_values_in_any_order(spark):
@@ -112,9 +157,7 @@ def test_sum_of_fine_decimals_does_not_depend_on_order(spark):
     seen = set()
     for k in range(4):
         rng.shuffle(values)
-        total = StableSum("v")
-        df = total.prepare(spark.createDataFrame([(v,) for v in values], "v double").repartition(3 + k))
-        seen.add(df.agg(total.sum().alias("s")).first().s)
+        seen.add(moments(spark, values, 3 + k).s)
     assert len(seen) == 1
 
 

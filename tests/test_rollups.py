@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from mastline.constants import DAILY, FACT, HOURLY
+from mastline.operators import rollups
 from mastline.operators.rollups import daily_rollup, fact_snapshot, hourly_rollup
 from tests.conftest import DAY, MIDNIGHT, rows_of
 
@@ -167,3 +169,19 @@ def test_hot_region_is_combined_before_the_shuffle(silver):
     assert "Expand" not in plan
     first_exchange = plan.rindex("Exchange")
     assert "partial_count" in plan[first_exchange:]
+
+
+def test_three_aggregates_from_one_scan(spark, frame, tmp_path):
+    rows = [(t, r, MIDNIGHT + 3600 * h + 60 * k, -70.0 - (t or 9) - k / 8 if k else None, (t or 9) + h / 4) for t in (1, 2, 3, None) for r in ("N", "S", None) for h in (0, 5) for k in range(3)]
+    silver = frame(rows).withColumn("event_hour", F.when(F.col("timestamp") < MIDNIGHT + 9000, F.hour(F.timestamp_seconds("timestamp"))))
+    silver.write.parquet(str(tmp_path / "s"))
+    silver = spark.read.parquet(str(tmp_path / "s"))
+    base = rollups.base_states(silver).persist()
+    built = rollups.from_base(base)
+    direct = {FACT: rollups.fact_snapshot, HOURLY: rollups.hourly_rollup, DAILY: rollups.daily_rollup}
+    for name, build in direct.items():
+        assert rows_of(built[name], *rollups.ORDERS[name]) == rows_of(build(silver), *rollups.ORDERS[name])
+        plan = built[name]._jdf.queryExecution().executedPlan().toString()
+        head, _, stored = plan.partition("InMemoryTableScan")  # the one scan is that of the stored states
+        assert stored and "FileScan" not in head and stored.count("InMemoryTableScan") == 0 and "Expand" not in plan
+    base.unpersist()
