@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mastline.constants import NATURAL_KEY, REQUIRED_COLUMNS
@@ -17,7 +17,7 @@ from mastline.functions import clock
 from mastline.operators import checks, clean, dedup, kinds, ledger, rollups
 from mastline.plans.engine import Engine
 from mastline.schemas import BRONZE_SCHEMA
-from mastline.session import scratch_path
+from mastline.session import scratch_path, small_splits
 from mastline.sinks.tables import DatedTable, all_equal, union_evolved
 from mastline.sources import calendar, drops
 from mastline.sources.adapters import faulty_readings, readings, write_drops
@@ -219,6 +219,34 @@ def bronze_roundtrip(spark, folder):
     return engine.read_bronze(dates).drop("_ingested_at", "_row_seq")
 
 
+# A region of several lines, with commas and quotes in it, or none at all.
+_MULTILINE_SQL = """CASE seq % 4 WHEN 0 THEN region || chr(10) || 'of ' || seq
+  WHEN 1 THEN region || ', "' || chr(10) || chr(10) || '"' WHEN 2 THEN region END"""
+
+
+@query(
+    "multiline_roundtrip",
+    f"""WITH {_R} SELECT tower_id, {_MULTILINE_SQL} AS region, "timestamp", signal_strength, data_volume_mb, {_LINEAGE_SQL},
+  row_number() OVER (PARTITION BY execution_date ORDER BY seq) AS place FROM r""",
+)
+def multiline_roundtrip(spark, folder):
+    """Fields with line breaks in files that are read in several splits; the rows' order in the file is kept."""
+    source, seq = scratch_path(spark, "drops"), F.col("seq")
+    region = (
+        F.when(seq % 4 == 0, F.concat("region", F.lit("\n of "), seq.cast("string")))
+        .when(seq % 4 == 1, F.concat("region", F.lit(', "\n\n"')))
+        .when(seq % 4 == 2, F.col("region"))
+    )
+    write_drops(readings(spark, folder).withColumn("region", F.replace(region, F.lit("\n of "), F.lit("\nof "))), source)
+    engine = Engine(spark, source, scratch_path(spark, "bronze"))
+    dates = [r.execution_date for r in drops.manifest(spark, source).select("execution_date").collect()]
+    with small_splits(spark, 1 << 12):  # the given tables are small: even so, several tasks share a file
+        engine.ingest_bronze(dates, "scan")
+    stored = engine.read_bronze(dates)
+    order = Window.partitionBy("_execution_date").orderBy("_row_seq.part", "_row_seq.block", "_row_seq.row")
+    return stored.withColumn("place", F.row_number().over(order).cast("long")).drop("_ingested_at", "_row_seq")
+
+
 def _table(spark, name: str) -> DatedTable:
     return DatedTable(spark, scratch_path(spark, name), "_execution_date")
 

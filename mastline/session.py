@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
 import tempfile
@@ -53,6 +54,20 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return wide
 
 
+@contextlib.contextmanager
+def small_splits(spark: SparkSession, size: int):
+    """Scans planned meanwhile have splits of at most ``size`` bytes."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, str(size))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 

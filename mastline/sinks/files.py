@@ -43,6 +43,27 @@ class Folder:
                 found.append(name)
         return sorted(found)
 
+    def matching(self, pattern: str) -> list[tuple[str, int, bool]]:
+        """(path from the root, bytes, whether it is a folder) of what a path pattern below the root names."""
+        found = self._fs.globStatus(self._path(f"{self.root}/{pattern}"))
+        return [(self._below(x.getPath()), x.getLen(), x.isDirectory()) for x in found or []]
+
+    def sizes(self, path: str) -> dict[str, int]:
+        """Bytes of a file, or of every file below a folder, hidden ones left out, by path from the root."""
+        return {f: self._fs.getFileStatus(self._at(f)).getLen() for f in self.files(path)}
+
+    def first_line(self, path: str) -> str | None:
+        """The first line of a text file that is not blank."""
+        stream = self._fs.open(self._at(path))
+        try:
+            lines = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            while (line := lines.readLine()) is not None:
+                if line.strip():
+                    return line.removeprefix("\ufeff")
+            return None
+        finally:
+            stream.close()
+
     def relative(self, uri: str) -> str:
         """A file's path from the root, by the URI in which a scan reports it."""
         return self._below(self._path(self._jvm.java.net.URI.create(uri)))

@@ -65,5 +65,5 @@ def write_drops(df: DataFrame, folder: str) -> None:
         .sortWithinPartitions("drop", "seq")
         .select("drop", *REQUIRED_COLUMNS)
         .write.partitionBy("drop")
-        .csv(folder, header=True)
+        .csv(folder, header=True, escape='"')
     )

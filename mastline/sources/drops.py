@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -13,9 +14,13 @@ from pyspark.sql import types as T
 from mastline.constants import FILE_PREFIX, FILE_SUFFIX, NA_TOKENS
 from mastline.functions import clock
 from mastline.schemas import ROW_SEQ
+from mastline.sinks.files import Folder
 from mastline.sinks.tables import union_evolved
+from mastline.sources import records
 
 _STAMP_LENGTH = 8 + len(FILE_SUFFIX)
+DEPTH = 3  # folders below the source folder in which a date's file may lie
+GROUP_BYTES = 1 << 39  # of broken drops read together: one row per split of theirs passes the driver
 
 # Raw text of a row whose field count differs from its header's.
 _MALFORMED = "__malformed"
@@ -90,44 +95,53 @@ def missing(spine: DataFrame, arrivals: DataFrame) -> DataFrame:
 
 
 def availability(spark: SparkSession, spine: DataFrame, folder: str) -> tuple[list[Drop], list[str]]:
-    """Found drops and missing dates; one row per requested date comes to the driver."""
-    rows = spine.join(_sources(spark, folder), "execution_date", "left").orderBy("execution_date").collect()
-    twice = {r.execution_date: r.roots for r in rows if r.roots and len(r.roots) > 1}
+    """Found drops and missing dates; one row per requested date comes to the driver.
+
+    Only what is named for a requested date is looked into, up to ``DEPTH`` folders down.
+    """
+    dates = sorted(r[0] for r in spine.select("execution_date").distinct().collect())
+    if not dates:
+        return [], []
+    root = Folder(spark, folder)
+    names = "{*=,}{" + ",".join(map(clock.file_name, dates)) + "}"  # also as the value of a partition column
+    sources: dict[str, dict[str, int]] = {}
+    for depth in range(DEPTH + 1):
+        for path, size, is_folder in root.matching("*/" * depth + names):
+            above = path.split("/")[:-1]
+            if not any(p.endswith(FILE_SUFFIX) or p.startswith(("_", ".")) for p in above):
+                held = sum(root.sizes(path).values()) if is_folder else size
+                sources.setdefault(path.rsplit("/", 1)[-1].rsplit("=", 1)[-1], {})[path] = held
+    by_date = {d: sources.get(clock.file_name(d), {}) for d in dates}
+    twice = {d: sorted(s) for d, s in by_date.items() if len(s) > 1}
     if twice:
         raise ValueError(f"Two sources for one date: {twice}")
-    found, lacking = [], []
-    for r in rows:
-        root = r.roots[0] if r.roots else None
-        path = root or f"{folder.rstrip('/')}/{clock.file_name(r.execution_date)}"
-        # Spark's file listings leave out files of zero bytes; those have arrived too.
-        if root or _exists(spark, path):
-            found.append(Drop(r.execution_date, path, r.bytes or 0))
-        else:
-            lacking.append(r.execution_date)
-    return found, lacking
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    found = [Drop(d, f"{root.root}/{p}", n) for d, s in by_date.items() for p, n in s.items()]
+    return found, [d for d, s in by_date.items() if not s]
 
 
 def headers(spark: SparkSession, drops: list[Drop]) -> dict[str, list[str]]:
     """Column names of each date's source, from its first line only."""
 
-    def first_line(drop: Drop) -> list[str]:
-        return _reader(spark).csv(drop.path).columns if drop.bytes else []
+    def names(drop: Drop) -> list[str]:
+        if not drop.bytes:
+            return []
+        above, _, name = drop.path.rpartition("/")
+        root = Folder(spark, above)
+        lines = (root.first_line(f) for f, size in root.sizes(name).items() if size)
+        return _names(next(filter(None, lines), ""))
 
     if not drops:
         return {}
-    # One one-task job per requested date; threads only overlap their latency.
+    # Threads only overlap the latency of opening a file.
     with ThreadPoolExecutor(min(16, len(drops))) as pool:
-        return dict(zip((d.execution_date for d in drops), pool.map(first_line, drops)))
+        return dict(zip((d.execution_date for d in drops), pool.map(names, drops)))
+
+
+def _names(line: str) -> list[str]:
+    """Column names of a header line; as Spark names them where they are empty or repeat."""
+    cells = next(csv.reader([line]), [])
+    lower = [c.lower() for c in cells]
+    return [f"_c{i}" if not c else f"{c}{i}" if lower.count(c.lower()) > 1 else c for i, c in enumerate(cells)]
 
 
 def _reader(spark: SparkSession):
@@ -141,32 +155,64 @@ def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(NA_TOKENS), c)
 
 
-def scan(spark: SparkSession, drops: list[Drop], columns: dict[str, list[str]]) -> DataFrame:
+def scan(
+    spark: SparkSession, drops: list[Drop], columns: dict[str, list[str]], broken: set[str] | None = None
+) -> DataFrame:
     """All drops as text columns plus ``_source_file``, ``_execution_date``, ``_row_seq``.
 
     Files with the same header are read together; the few distinct headers are
-    then united by name.  A file without any line has no header and no rows.
+    then united by name.  A file without any line has no header and no rows.  ``broken`` names
+    the drops in which a quoted field holds a line break (by ``broken_drops`` if not given);
+    they are read by another way, split all the same.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
+    if broken is None:
+        broken = broken_drops(spark, drops)
+    groups: dict[tuple, list[str]] = {}
+    seen = 0  # bytes of broken drops so far
     for drop in drops:
-        groups.setdefault(tuple(columns[drop.execution_date]), []).append(drop.path)
-    frames = [_scan_group(spark, head, paths) for head, paths in groups.items() if head]
+        head = tuple(columns[drop.execution_date])
+        if drop.path in broken:
+            seen += drop.bytes
+            groups.setdefault((seen // GROUP_BYTES, head), []).append(drop.path)
+        else:
+            groups.setdefault((None, head), []).append(drop.path)
+    frames = [
+        _placed(_lines(spark, head, paths) if group is None else records.scan(spark, head, paths, _MALFORMED), head)
+        for (group, head), paths in groups.items()
+        if head
+    ]
     if not frames:
         return spark.createDataFrame([], _SCAN_TAIL)
     return union_evolved(frames)
 
 
-def _scan_group(spark: SparkSession, head: tuple[str, ...], paths: list[str]) -> DataFrame:
+def broken_drops(spark: SparkSession, drops: list[Drop]) -> set[str]:
+    """Paths of the drops with a line that ends within a quoted field; one scan of the lines that hold a quote."""
+    paths = [d.path for d in drops if d.bytes]
+    if not paths:
+        return set()
+    roots = records.broken_files(spark, paths).select(dated_root(F.col("file")).alias("root")).distinct().collect()
+    names = {r.root.rsplit("/", 1)[-1] for r in roots}  # one source per date, so a name is a source
+    return {p for p in paths if p.rsplit("/", 1)[-1] in names}
+
+
+def _lines(spark: SparkSession, head: tuple[str, ...], paths: list[str]) -> DataFrame:
+    """One record per line, by Spark's own reader, with its place."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*head, _MALFORMED)])
     # Scan facts first: later operators may regroup rows.
     raw = _reader(spark).schema(schema).option("columnNameOfCorruptRecord", _MALFORMED).csv(paths)
-    placed = raw.select(
-        *(missing_to_null(F.col(f"`{c}`")).alias(c) for c in head),
+    return raw.select(
+        *(F.col(f"`{c}`") for c in head),
         _MALFORMED,
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__row"),
     )
+
+
+def _placed(raw: DataFrame, head: tuple[str, ...]) -> DataFrame:
+    """Records with their place as the source's columns, name, date and row order."""
+    placed = raw.withColumns({c: missing_to_null(F.col(f"`{c}`")) for c in head})
     stamp = F.substring_index("__file", FILE_PREFIX, -1)
     single = F.length(stamp) == _STAMP_LENGTH
     return placed.select(

@@ -157,3 +157,103 @@ def test_empty_surplus_field_is_surplus(spark, tmp_path, tail):
     found = [drops.Drop(r.execution_date, r.path, r.bytes) for r in drops.manifest(spark, str(tmp_path)).collect()]
     with pytest.raises(Exception, match="more fields than its header"):
         drops.scan(spark, found, drops.headers(spark, found)).collect()
+
+
+# -- line breaks in quoted fields -----------------------------------------------
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+
+    def cut(size):
+        spark.conf.set(keys[0], str(size))
+        spark.conf.set(keys[1], "1")
+
+    yield cut
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def odd_region(rng):
+    pieces = ["North", "\n", "\r\n", '"', ",", "\n\n", ' ""', "x" * 30, "é漢"]
+    return "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 7)))
+
+
+def as_csv(rows, end="\n"):
+    quoted = [[str(a), '"' + b.replace('"', '""') + '"' if b is not None else "", *map(str, rest)] for a, b, *rest in rows]
+    return end.join([HEAD, *(",".join(r) for r in quoted)]) + end
+
+
+@pytest.mark.parametrize("size", [50, 64, 333, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_breaks_in_fields_in_files_that_are_split(spark, tmp_path, small_splits, size, end):
+    import random
+
+    small_splits(size)
+    rng = random.Random(size)
+    days = {DAY: 60, "2025-07-24": 7, "2025-07-25": 1}
+    want = {}
+    for day, n in days.items():
+        rows = [(i, odd_region(rng) if i % 3 else "plain", MIDNIGHT + i, -75.5, i / 4) for i in range(n)]
+        (tmp_path / f"network_metrics_{day.replace('-', '')}.csv").write_bytes(as_csv(rows, end).encode())
+        want[day] = rows
+    raw, _ = scan(spark, tmp_path)
+    if size < 100:
+        assert raw.select("_row_seq.block").distinct().count() > 10
+    for day, rows in want.items():
+        got = raw.where(F.col("_execution_date") == day).orderBy("_row_seq.part", "_row_seq.block", "_row_seq.row").collect()
+        assert [(int(r.tower_id), r.region, int(r.timestamp), float(r.data_volume_mb)) for r in got] == [(a, b, c, e) for a, b, c, _, e in rows]
+
+
+def test_a_quote_inside_a_field_opens_nothing(spark, tmp_path, small_splits):
+    small_splits(40)
+    lines = [f'1,5" pipe,{MIDNIGHT},-75.5,1', f'2,"two\nlines, 5"" pipe",{MIDNIGHT},-75.5,2', f'3,"a"b",{MIDNIGHT},-75.5,3', f'4,x"",{MIDNIGHT},-75.5,4', "", f'5,"",{MIDNIGHT},-75.5,5']
+    write_csv(tmp_path, DAY, "\n".join([HEAD, *lines, ""]))
+    write_csv(tmp_path, "2025-07-24", "\n".join([HEAD, lines[0], lines[3], ""]))
+    found = [drops.Drop(r.execution_date, r.path, r.bytes) for r in drops.manifest(spark, str(tmp_path)).collect()]
+    assert {p[-12:-4] for p in drops.broken_drops(spark, found)} == {"20250723"}
+    got = {int(r["tower_id"]): r["region"] for r in rows_of(scan(spark, tmp_path)[0].where(f"_execution_date = '{DAY}'"))}
+    assert got[1] == '5" pipe' and got[2] == 'two\nlines, 5" pipe' and got[4] == 'x""' and got[5] is None and 3 in got
+
+
+def test_broken_files_are_checked_like_others(spark, tmp_path, small_splits):
+    small_splits(40)
+    broken = f'7,"a\nb",{MIDNIGHT},-75.5,1'
+    write_csv(tmp_path, DAY, f"{HEAD}\n{broken}\n{LINE},surplus\n")
+    with pytest.raises(Exception, match="more fields than its header"):
+        scan(spark, tmp_path)[0].collect()
+    write_csv(tmp_path, DAY, f'{HEAD}\n{broken}\n8,c\n')
+    found = [drops.Drop(DAY, str(tmp_path / "network_metrics_20250723.csv"), 99)]
+    got = {r.tower_id: (r.region, r.timestamp) for r in drops.scan(spark, found, {DAY: REQUIRED_COLUMNS}).collect()}
+    assert got == {"7": ("a\nb", str(MIDNIGHT)), "8": ("c", None)}
+    write_csv(tmp_path, DAY, f'{HEAD}\n{broken}\n9,"never\nended\n')
+    with pytest.raises(Exception, match="without an end"):
+        drops.scan(spark, found, {DAY: REQUIRED_COLUMNS}).collect()
+    write_csv(tmp_path, DAY, f"{HEAD}\n{broken}\n")
+    swapped = [REQUIRED_COLUMNS[1], REQUIRED_COLUMNS[0], *REQUIRED_COLUMNS[2:]]
+    with pytest.raises(Exception, match="(?i)another header"):
+        drops.scan(spark, found, {DAY: swapped}).collect()
+
+
+# -- discovery --------------------------------------------------------------------
+
+
+def test_only_requested_names_are_looked_into(spark, tmp_path):
+    deep = tmp_path / "2025" / "07"
+    deep.mkdir(parents=True)
+    write_csv(deep, DAY, f"{HEAD}\n{LINE}\n")
+    folder = tmp_path / "network_metrics_20250724.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("")
+    (folder / "part-1.csv").write_text(f"a,\"b \"\"c\"\"\",,A\n{LINE}\n")
+    (folder / "_SUCCESS").write_text("x")
+    write_csv(tmp_path, "2025-07-25", "")
+    dates = [DAY, "2025-07-24", "2025-07-25", "2025-07-26"]
+    found, missing = drops.availability(spark, spark.createDataFrame([(d,) for d in dates], "execution_date string"), str(tmp_path))
+    assert [(d.execution_date, d.bytes > 0) for d in found] == [(DAY, True), ("2025-07-24", True), ("2025-07-25", False)] and missing == ["2025-07-26"]
+    heads = drops.headers(spark, found)
+    assert heads == {DAY: REQUIRED_COLUMNS, "2025-07-24": ["a0", 'b "c"', "_c2", "A3"], "2025-07-25": []}
+    assert heads["2025-07-24"] == spark.read.csv(str(folder / "part-1.csv"), header=True, escape='"').columns
+    assert drops.availability(spark, spark.createDataFrame([], "execution_date string"), str(tmp_path)) == ([], [])
