@@ -28,7 +28,7 @@ from mastline.constants import (
     TRACKED_TABLES,
 )
 from mastline.functions.clock import utc_now
-from mastline.operators import checks, clean, kinds, rollups
+from mastline.operators import checks, clean, dedup, kinds, rollups
 from mastline.session import size_shuffles, small_frame
 from mastline.sinks.ledger import RunLedger
 from mastline.sinks.tables import DatedTable, LayoutConflictError, all_equal
@@ -106,6 +106,7 @@ class Engine:
             found, lacking = self.available(dates)
             if lacking:
                 raise FileNotFoundError(f"No source file for date(s): {lacking}")
+        size_shuffles(self.spark, sum(d.bytes for d in found))
         heads = heads or drops.headers(self.spark, found)
         blank = [d.path for d in found if not heads[d.execution_date]]
         if blank:
@@ -131,6 +132,7 @@ class Engine:
     ) -> DataFrame:
         """Check bronze, replace the dates' log entries, then raise on a hard failure."""
         listed = _listed(dates)
+        self._size_shuffles(self.tables[BRONZE], listed)
         bronze = self.read_bronze(listed)
         if heads is None:
             found, _ = self.available(listed)
@@ -140,7 +142,7 @@ class Engine:
         results = checks.run_checks(bronze, self._columns_by_date(present), tz=self.tz)
         stamped = results.withColumns({"checked_at": F.lit(utc_now()), "run_id": F.lit(run_id)})
         log = self.tables[DQ_LOG]
-        log.replace(stamped, listed)
+        log.replace(stamped, listed, counted=False)
         written = log.read(dates=listed)
         if self.dq_json:
             self.export_dq_json(listed, self.dq_json)
@@ -164,16 +166,36 @@ class Engine:
 
     # -- silver ------------------------------------------------------------
 
-    def process_silver(self, dates: str | list[str], run_id: str) -> dict[str, int]:
-        """Bronze to silver; returns clean rows per date."""
+    def process_silver(self, dates: str | list[str], run_id: str, rows: dict[str, int] | None = None) -> dict[str, int]:
+        """Bronze to silver; returns clean rows per date.  ``rows`` has bronze rows per date, if known.
+
+        Rows move once, into the files of their date: which ones repeat an earlier key is found
+        out beforehand from keys and places alone.
+        """
         listed = _listed(dates)
         bronze = self.tables[BRONZE]
-        largest = max(bronze.counts(listed).values(), default=0)
-        tidy = clean.clean_readings(bronze.read(dates=listed), run_id, strict=self.strict)
+        self._size_shuffles(bronze, listed)
+        largest = max((rows or bronze.counts(listed)).values(), default=0)
         # Readings of a tower share a file, so gold combines them before its shuffle.
         files = -(-largest // self.rows_per_file)
         spread = F.pmod(F.xxhash64("tower_id"), F.lit(files)) if files > 1 else None
-        return self.tables[SILVER].replace(tidy, listed, spread=spread)
+        raw = bronze.read(dates=listed)
+        ranks = dedup.part_ranks(raw, "_execution_date").persist()
+        files_read = ranks.agg(F.count("*").alias("n"), F.max("part").alias("last")).first()
+        if files_read.n > dedup.REPEATED_KEYS:  # too many to send to all tasks: order by sorting
+            return self.tables[SILVER].replace(clean.clean_readings(raw, run_id, strict=self.strict), listed, spread=spread)
+        keyed = clean.with_position(clean.keyed_readings(raw, self.strict), ranks if files_read.last else None)
+        repeated = clean.repeats(keyed).persist(StorageLevel.DISK_ONLY)
+        try:
+            tidy = clean.finished(clean.without_repeats(keyed, repeated), run_id)
+            return self.tables[SILVER].replace(tidy, listed, spread=spread)
+        finally:
+            repeated.unpersist()
+            ranks.unpersist()
+
+    def _size_shuffles(self, table: DatedTable, dates: list[str]) -> None:
+        """Shuffles as wide as what is read of a table asks for; Parquet rows take some four times their bytes as CSV does."""
+        size_shuffles(self.spark, table.bytes(dates))
 
     def read_silver(self, dates: str | list[str]) -> DataFrame:
         return self.tables[SILVER].read(dates=_listed(dates))
@@ -188,6 +210,7 @@ class Engine:
         executor's share is computed again.
         """
         listed = _listed(dates)
+        self._size_shuffles(self.tables[SILVER], listed)
         base = rollups.base_states(self.read_silver(listed)).persist(StorageLevel.DISK_ONLY)
         try:
             built = rollups.from_base(base)
@@ -308,19 +331,17 @@ class Engine:
             self.ledger.record(run_id, notes)
         if not found:
             return self.ledger.state(run_id)
-        size_shuffles(self.spark, sum(d.bytes for d in found))
-
         dates = [d.execution_date for d in found]
         heads = drops.headers(self.spark, found)
-        self._stage(run_id, [BRONZE], dates, lambda: {BRONZE: self.ingest_bronze(dates, run_id, found, heads)})
+        rows = self._stage(run_id, [BRONZE], dates, lambda: {BRONZE: self.ingest_bronze(dates, run_id, found, heads)})
         self._stage(run_id, [SILVER], dates, lambda: self._checked(dates, run_id, heads))
-        self._stage(run_id, [SILVER], dates, lambda: {SILVER: self.process_silver(dates, run_id)})
+        self._stage(run_id, [SILVER], dates, lambda: {SILVER: self.process_silver(dates, run_id, rows[BRONZE])})
         self._stage(run_id, [FACT, HOURLY, DAILY], dates, lambda: self.process_gold(dates, run_id))
         self.ledger.update_all_running(run_id, SUCCESS)
         return self.ledger.state(run_id)
 
-    def _stage(self, run_id: str, names: list[str], dates: list[str], work) -> None:
-        """Run one stage and book its outcome on the tables it stands for."""
+    def _stage(self, run_id: str, names: list[str], dates: list[str], work) -> dict[str, dict[str, int]]:
+        """Run one stage and book its outcome on the tables it stands for; returns rows per table and date."""
         try:
             counts = work()
         except Exception as error:
@@ -330,6 +351,7 @@ class Engine:
         rows = [(t, d, SUCCESS, None, n) for t, per_date in counts.items() for d, n in per_date.items()]
         if rows:
             self.ledger.record(run_id, rows)
+        return counts
 
 
 def _listed(dates: str | list[str]) -> list[str]:

@@ -226,6 +226,7 @@ class DatedTable:
         spread: Column | None = None,
         sort: list[str] | None = None,
         rebalance: bool = True,
+        counted: bool = True,
     ) -> dict:
         """Make ``df`` the whole content of ``dates``, values of the partition column; others stay as they are.
 
@@ -233,7 +234,7 @@ class DatedTable:
         expression that keeps related rows in one file) before the write, so a
         many-date job does not leave one small file per task and date.  The
         regrouping is adaptive: a date too large for one task is split, small
-        ones share a task.  Returns rows per date.
+        ones share a task.  Returns rows per date, if ``counted``.
         """
         if self.key is None:
             raise LayoutConflictError(f"{self.path} has not one partition column: overwrite it by a filter")
@@ -258,7 +259,12 @@ class DatedTable:
             written = {partition_folder(self.key, text) for text in seen.get["filled"] or []}
             for folder in {self._folder(d) for d in dates} - written:
                 self.files.delete(folder)
-        return self.counts(dates)
+        return self.counts(dates) if counted else {}
+
+    def bytes(self, dates: list) -> int:
+        """Bytes of the files of some values of the partition column, or of all files, by their listing."""
+        found = self._partitions(dates) if self.schema() is not None else None
+        return int(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if found is not None else 0
 
     def delete(self, filters: dict) -> None:
         """Delete the rows meeting every filter; with none, all of them."""

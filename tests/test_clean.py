@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mastline.operators import clean, dedup
 from mastline.operators.clean import clean_readings
 from mastline.operators.dedup import duplicate_counts, keep_first
 from tests.conftest import DAY, MIDNIGHT, rows_of
@@ -126,3 +127,60 @@ def test_duplicate_counts_take_every_copy_and_treat_nulls_as_equal(spark):
     df = spark.createDataFrame(rows, "g string, k int")
     got = {r.g: r.duplicate_rows for r in duplicate_counts(df, "g", ["k"]).collect()}
     assert got == {"a": 4, "b": 0, "c": 3}
+
+
+# -- repeats without sorting -----------------------------------------------------
+
+PLACED = "tower_id bigint, region string, timestamp bigint, note string, _execution_date string, _row_seq struct<part:string,block:bigint,row:bigint>"
+
+
+def placed(spark, n=600):
+    """Keys that repeat within and across splits, the first copy with the smallest place; a third of all rows share one key."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        key = 7 if i % 3 == 0 else rng.randrange(150)
+        rows.append((key, None if key % 11 == 0 else f"r{key % 2}", MIDNIGHT, f"row {i}", "d" + str(i % 2), ("", (i // 100) << 30, (rng.randrange(5) << 33) + i)))
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, PLACED).repartition(5)
+
+
+@pytest.mark.parametrize("most", [1000, 3])
+def test_first_rows_are_those_that_sorting_keeps(spark, most):
+    df = placed(spark)
+    keys = ["timestamp", "tower_id", "region", "_execution_date"]
+    repeated = dedup.repeated_keys(df, keys, dedup.file_position())
+    got = dedup.only_first(df, repeated, keys, dedup.file_position(), most)
+    want = dedup.keep_first(df, keys, ["_row_seq.part", "_row_seq.block", F.col("_row_seq.row").bitwiseAND(F.lit((1 << 33) - 1))])
+    assert sorted(r.note for r in got.collect()) == sorted(r.note for r in want.collect())
+    assert got.columns == df.columns and 100 < got.count() < 400
+
+
+def test_repeats_are_found_without_a_sort_or_a_row_per_copy(spark):
+    df = placed(spark)
+    keys = ["timestamp", "tower_id", "region", "_execution_date"]
+    repeated = dedup.repeated_keys(df, keys, dedup.file_position())
+    plan = repeated._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == 1 and "note" not in plan.split("Exchange hashpartitioning")[0]
+    kept = dedup.only_first(df, repeated, keys, dedup.file_position())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.replace("SortAggregate", "") and "BroadcastHashJoin" in plan
+
+
+def test_files_of_a_date_are_in_order_of_their_names(spark):
+    df = placed(spark).withColumn("_row_seq", F.col("_row_seq").withField("part", F.concat(F.lit("part-"), F.pmod(F.hash("note"), F.lit(3)).cast("string"))))
+    typed = df.withColumns({"signal_strength": F.lit(1.0), "data_volume_mb": F.lit(1.0)})
+    placed_ = clean.with_position(clean.keyed_readings(typed), dedup.part_ranks(typed, "_execution_date"))
+    got = clean.finished(clean.without_repeats(placed_, clean.repeats(placed_)))
+    low = F.col("_row_seq.row").bitwiseAND(F.lit((1 << 33) - 1))
+    want = clean_readings(typed.withColumn("_row_seq", F.col("_row_seq").withField("row", low)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+
+
+def test_file_position_orders_like_its_parts(spark):
+    places = [("", 0, 5), ("", 0, (3 << 33) + 6), ("", 1, 0), ("", 1 << 45, (1 << 33) - 1), ("", (1 << 45) + 1, 0)]
+    df = spark.createDataFrame([(p,) for p in places], "_row_seq struct<part:string,block:bigint,row:bigint>")
+    got = [r[0] for r in df.select(dedup.file_position()).collect()]
+    assert got == sorted(got) and len(set(got)) == len(got)
