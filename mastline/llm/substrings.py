@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mastline.llm.common import Rolling, Words, byte_table, mapped, mixed, signed, sliced, utf8, written
@@ -96,19 +96,19 @@ def crowded(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def suffixes(docs: DataFrame, long: np.ndarray, salts: np.ndarray, window: int, gram: int) -> DataFrame:
-    """(a, doc, start, wins): runs of windows by anchor; those of long groups are salted and have start < 0.
+    """(a, doc, mark, start, wins): runs of windows by anchor; those of long groups are salted and have start < 0.
 
     ``long`` holds the anchors of long groups in order, ``salts`` how many parts each gets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, marks = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for first, _, data, bounds in sliced(*utf8(b.column(1))):
                 if (found := anchored(data, bounds, window, gram)) is None:
                     continue
                 low, doc, start, many, whole = found
-                doc = ids[doc + first]
+                doc, mark = ids[doc + first], marks[doc + first]
                 if len(long):
                     at = np.minimum(np.searchsorted(long, low), len(long) - 1)
                     hot = long[at] == low
@@ -118,13 +118,18 @@ def suffixes(docs: DataFrame, long: np.ndarray, salts: np.ndarray, window: int,
                 packed = np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8)[:, 8 - _HASH_BYTES :])
                 offsets = np.append(0, np.cumsum(many) * _HASH_BYTES).astype(np.int32)
                 wins = pa.Array.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(low)), pa.array(doc), pa.array(start.astype(np.int32)), wins], ["a", "doc", "start", "wins"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(low)), pa.array(doc), pa.array(mark), pa.array(start.astype(np.int32)), wins], ["a", "doc", "mark", "start", "wins"])
 
-    return mapped(docs.where("doc_id is not null").select("doc_id", "text"), run, "a long, doc long, start int, wins binary")
+    return mapped(docs.where("doc_id is not null").select("doc_id", "text", _mark().alias("mark")), run, "a long, doc long, mark long, start int, wins binary")
+
+
+def _mark() -> Column:
+    """Names a row together with its doc_id."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def repeats(rows: DataFrame, window: int) -> DataFrame:
-    """(node, doc, start, end): stretches of words that earlier windows of their group cover.
+    """(node, doc, mark, start, end): stretches of words that earlier windows of their group cover.
 
     For salted groups, and for those worked on in pieces, also the first windows of each
     part, with their node and end -1: the parts' firsts are compared once more.
@@ -158,15 +163,15 @@ def repeats(rows: DataFrame, window: int) -> DataFrame:
         if held:
             yield _marks(held, window, pieces)
 
-    parts = rows.repartition("a").sortWithinPartitions("a", "doc", F.abs("start"))
-    return mapped(parts, run, "node long, doc long, start int, end int")
+    parts = rows.repartition("a").sortWithinPartitions("a", "doc", "mark", F.abs("start"))
+    return mapped(parts, run, "node long, doc long, mark long, start int, end int")
 
 
 def _marks(batches: list[pa.RecordBatch], window: int, piece: bool) -> pa.RecordBatch:
     """Repeats within whole groups or a piece of one, rows in order of (group, document, start)."""
     t = pa.Table.from_batches(batches).combine_chunks()
-    a, doc, start = (t.column(i).to_numpy() for i in range(3))
-    wins = t.column(3).combine_chunks()
+    a, doc, mark, start = (t.column(i).to_numpy() for i in range(4))
+    wins = t.column(4).combine_chunks()
     if isinstance(wins, pa.ChunkedArray):
         wins = wins.chunk(0)
     offsets = np.frombuffer(wins.buffers()[1], np.int32, len(wins) + 1, wins.offset * 4)
@@ -186,7 +191,8 @@ def _marks(batches: list[pa.RecordBatch], window: int, piece: bool) -> pa.Record
     lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
     repeat = np.zeros(len(order), bool)
     # A row given twice under one doc_id is not earlier than itself.
-    repeat[order] = (doc[row[order]] != doc[row[lead]]) | (at[order] != at[lead])
+    same = (doc[row[order]] == doc[row[lead]]) & (mark[row[order]] == mark[row[lead]])
+    repeat[order] = ~same | (at[order] != at[lead])
     # Neighbouring repeats of a row as one stretch.
     begin = repeat.copy()
     begin[1:] &= ~(repeat[:-1] & (row[1:] == row[:-1]))
@@ -196,14 +202,14 @@ def _marks(batches: list[pa.RecordBatch], window: int, piece: bool) -> pa.Record
     again = np.flatnonzero(~repeat & (hot[row] | piece))  # the salt is not part of a window's name
     anchor = mixed(unsalted(a.view(np.uint64)))[row[again]]
     name = np.concatenate([np.zeros(len(s), np.int64), signed(mixed(full.view(np.uint64).ravel()[again] ^ anchor))])
-    docs = np.concatenate([doc[row[s]], doc[row[again]]])
+    docs, marks = (np.concatenate([x[row[s]], x[row[again]]]) for x in (doc, mark))
     starts = np.concatenate([at[s], at[again]])
     ends = np.concatenate([at[e] + window, np.full(len(again), -1)])
-    return pa.RecordBatch.from_arrays([pa.array(name), pa.array(docs), pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["node", "doc", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(name), pa.array(docs), pa.array(marks), pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["node", "doc", "mark", "start", "end"])
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc, start, end): word stretches of documents that windows with an earlier copy cover; they may overlap.
+    """(doc, mark, start, end): word stretches of documents that windows with an earlier copy cover; they may overlap.
 
     Windows are compared by hashes of their words: 64 bits of the anchor (44 if its group is
     split) and 48 of the window.
@@ -215,9 +221,10 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
     marks = written(repeats(suffixes(docs, long, salts, window, gram), window), "marks")
     firsts = marks.where("end < 0")
     # A window of a split group has one first per part; parts of them are compared map-side.
-    lead = firsts.groupBy("node").agg(F.min(F.struct("doc", "start")).alias("lead"))
-    later = firsts.join(lead, "node").where("lead.doc != doc or lead.start != start").select("doc", "start", (F.col("start") + window).alias("end"))
-    return marks.where("end >= 0").select("doc", "start", "end").union(later)
+    lead = firsts.groupBy("node").agg(F.min(F.struct("doc", "mark", "start")).alias("lead"))
+    later = firsts.join(lead, "node").where("lead.doc != doc or lead.mark != mark or lead.start != start")
+    later = later.select("doc", "mark", "start", (F.col("start") + window).alias("end"))
+    return marks.where("end >= 0").select("doc", "mark", "start", "end").union(later)
 
 
 def dedup_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -225,11 +232,14 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     A word goes if a window of ``window`` words over it also starts earlier: in a document
     with a smaller doc_id, or before in the same one.  ``kept`` is what is left, parted by one
-    space.  Null has no words.  Rows without doc_id stay whole and are nobody's earlier copy;
-    rows that repeat a doc_id are treated as one document.
+    space.  Null has no words.  Rows without doc_id stay whole and are nobody's earlier copy.
+    Rows that repeat both doc_id and text are one document; of rows with one doc_id and several
+    texts, those of one text (in an order fixed by a hash) are the earlier document.  Texts of any length
+    are read whole, other columns not at all; an empty table gives no rows.
     """
-    spans = repeated_stretches(docs, window, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    both = docs.select("doc_id", "text").join(spans.hint("shuffle_hash"), F.col("doc_id") == F.col("doc"), "left")
+    spans = repeated_stretches(docs, window, gram).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    both = docs.select("doc_id", "text", _mark().alias("__mark"))
+    both = both.join(spans.hint("shuffle_hash"), (F.col("doc_id") == F.col("doc")) & (F.col("__mark") == F.col("mark")), "left")
     both = both.select("doc_id", "text", F.expr("transform(spans, x -> x.start)").alias("s"), F.expr("transform(spans, x -> x.end)").alias("e"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -246,6 +246,13 @@ def test_long_groups_change_nothing(docs, mixed_texts, monkeypatch):
     assert by_id(substrings.passages_report(docs(mixed_texts)), "n_removed", "kept_sha256") == plain
 
 
+def test_passages_go_by_row_not_by_doc_id(docs):
+    long, other = prose(60, 1), prose(80, 2)
+    rows = [(0, long), (1, long), (1, "short text"), (1, other), (1, other), (None, long), (2, None), (2, ""), (3, other)]
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_removed) for r in substrings.passages_report(docs(rows)).collect())
+    assert got == [(-1, 60, 0), (0, 60, 0), (1, 2, 0), (1, 60, 60), (1, 80, 0), (1, 80, 0), (2, 0, 0), (2, 0, 0), (3, 80, 80)]
+
+
 def test_salted_and_split_groups_find_the_same(docs, mixed_texts, monkeypatch):
     common = "this line of boiler plate text stands in a very large share of all the documents that we have ever had to read"
     rows = [(i, f"{common} {i % 7} and {t}") for i, (_, t) in enumerate(mixed_texts * 3) if t]
