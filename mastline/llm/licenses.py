@@ -155,12 +155,15 @@ def license_report(docs: DataFrame) -> DataFrame:
 
     The table has no paths, so they are made from source and doc_id, by ten thousands and
     thousands; and as it has no file names, a directory's licence file is its first document
-    with a statement.
+    with a statement.  A row without doc_id has no path: it inherits and declares nothing.  Null and
+    empty texts have no statement; rows that repeat a doc_id are files of one path, each with
+    its own statement; texts are read whole, and other columns, whatever their names, not at all.
+    An empty table gives no rows.
     """
     parts = [F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 10000"), F.expr("doc_id div 1000"), F.col("doc_id")]
-    path = F.concat_ws("/", *[p.cast("string") for p in parts])
+    path = F.when(F.col("doc_id").isNotNull(), F.concat_ws("/", *[p.cast("string") for p in parts]))
     rows = written(statements(docs.select("doc_id", "text", path.alias("path"))), "statements")
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     firsts = rows.where("license is not null").groupBy(folder.alias("f")).agg(F.min("doc_id").alias("first"))
-    rows = rows.join(firsts, folder == F.col("f"), "left").withColumn("licence_file", F.col("doc_id").eqNullSafe(F.col("first")))
+    rows = rows.join(firsts, folder == F.col("f"), "left").withColumn("licence_file", F.coalesce(F.col("doc_id") == F.col("first"), F.lit(False)))
     return inherit(rows.select("doc_id", "path", "license", "cosine", "licence_file"))

@@ -615,6 +615,12 @@ def test_licenses(spark, docs):
     assert got == {0: ("Apache-2.0", "own", None), 1: ("MIT", "inherited", 4), 2: ("Apache-2.0", "inherited", 0), 3: (None, "none", None), 4: ("MIT", "own", None)}
 
 
+def test_a_row_without_id_declares_nothing(docs):
+    rows = [(None, "Released under the MIT License."), (1, "plain text"), (20_001, "more text"), (2, None)]
+    got = sorted((r.doc_id or 0, r.path, r.license, r.origin) for r in licenses.license_report(docs(rows)).collect())
+    assert got == [(0, None, "MIT", "own"), (1, "s0/0/0/1", None, "none"), (2, "s0/0/0/2", None, "none"), (20_001, "s0/2/20/20001", None, "none")]
+
+
 def _calls(spark):
     public = pytest.importorskip("public_tokenizers")
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, 1), (None, 0, 1), (6, 0, None)], "doc_id long, quality int, toxic int")
