@@ -36,6 +36,7 @@ TRACKED_TABLES = [BRONZE, SILVER, FACT, HOURLY, DAILY]
 # Bookkeeping tables.
 DQ_LOG = "pipeline.dq_log"
 LEDGER = "pipeline.pipeline_control"
+SKETCHES = "gold.tower_sketches"
 
 # Daily file name: prefix, yyyyMMdd, suffix.
 FILE_PREFIX = "network_metrics_"

@@ -51,7 +51,9 @@ def outside_day(seconds: Column, date: Column, tz: str = "UTC") -> Column:
     return (seconds < first) | (seconds > last)
 
 
-def counters(df: DataFrame, checks: list[str] = ALL_CHECKS, date: str = "_execution_date", tz: str = "UTC") -> DataFrame:
+def counters(
+    df: DataFrame, checks: list[str] = ALL_CHECKS, date: str = "_execution_date", tz: str = "UTC", evolution: bool = False
+) -> DataFrame:
     """One row per date with the counters the checks need; one pass, map-side combined."""
     have = set(df.columns)
     wanted = [F.count("*").alias("n_rows")]
@@ -66,6 +68,8 @@ def counters(df: DataFrame, checks: list[str] = ALL_CHECKS, date: str = "_execut
     if "timestamp_freshness" in checks and "timestamp" in have:
         outside = outside_day(as_long(df, "timestamp"), F.col(date), tz)
         wanted.append(F.count_if(outside).alias("bad_time"))
+    if evolution:
+        wanted.append(kinds.kind_counts(df).alias("kinds"))
     return df.groupBy(F.col(date).alias("execution_date")).agg(*wanted)
 
 
@@ -88,13 +92,13 @@ def run_checks(
     """The requested checks, in their fixed order, for every date.
 
     ``include_evolution`` adds the schema-change verdict as one more check, judged as
-    ``strict`` says; it takes a pass of its own over ``df``.
+    ``strict`` says; its counters come by the same pass as the others'.
 
     ``columns_by_date`` (``execution_date, columns``) names the dates to report,
     including dates without a single row, and the columns each date's source
     had.  Without it the dates present in ``df`` are reported with ``df``'s columns.
     """
-    per_date = counters(df, checks, date, tz)
+    per_date = counters(df, checks, date, tz, include_evolution)
     if "duplicate_rows" in checks:
         keys = [c for c in NATURAL_KEY if c in df.columns]
         if keys:
@@ -109,11 +113,9 @@ def run_checks(
 
     present = set(per_date.columns)
     ordered = [_VERDICTS[c](present) for c in ALL_CHECKS if c in checks]
-    results = per_date.select("execution_date", F.inline(F.array(*ordered)))
     if include_evolution:
-        by_date = per_date.select("execution_date", "columns") if columns_by_date is None else columns_by_date
-        results = results.unionByName(kinds.schema_evolution(df, by_date, date, strict))
-    return results
+        ordered.append(_verdict(EVOLUTION, *kinds.evolution_verdict(strict)))
+    return per_date.select("execution_date", F.inline(F.array(*ordered)))
 
 
 # -- verdicts, each a struct on one row per date ---------------------------

@@ -37,145 +37,130 @@ def _counters(df: DataFrame, column: str) -> Column:
     )
 
 
-def _inferred_kind() -> Column:
-    """The type a whole-file reader would infer from the counts."""
-    filled = F.col("n_rows") - F.col("n_null")
-    gaps = F.col("n_null") > 0
+def _inferred_kind(at=F.col) -> Column:
+    """The type a whole-file reader would infer from the counts; ``at`` gives a count by its name."""
+    filled = at("n_rows") - at("n_null")
+    gaps = at("n_null") > 0
     return (
-        F.when(F.col("n_rows") == 0, "object")
+        F.when(at("n_rows") == 0, "object")
         .when(filled == 0, "float64")
-        .when(F.col("n_bool") == filled, F.when(gaps, "object").otherwise("bool"))
-        .when((F.col("n_int") == filled) & ~gaps, "int64")
-        .when(F.col("n_float") == filled, "float64")
+        .when(at("n_bool") == filled, F.when(gaps, "object").otherwise("bool"))
+        .when((at("n_int") == filled) & ~gaps, "int64")
+        .when(at("n_float") == filled, "float64")
         .otherwise("object")
     )
 
 
-def column_kinds(df: DataFrame, columns: list[str] | None = None, date: str = "_execution_date") -> DataFrame:
-    """One row per date and column: value counts by kind and the inferred kind.
+_COUNTS = "array<struct<column_name:string,n_rows:bigint,n_null:bigint,n_int:bigint,n_float:bigint,n_bool:bigint>>"
 
-    One aggregation over the scan; only counters are shuffled.
-    """
+
+def kind_counts(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Aggregate: for each column, in order, how many values read as each kind."""
     names = [c for c in (columns or REQUIRED_COLUMNS) if c in df.columns]
-    if not names:
-        none = F.array().cast(
-            "array<struct<column_name:string,n_rows:bigint,n_null:bigint,"
-            "n_int:bigint,n_float:bigint,n_bool:bigint>>"
-        )
-        counts = df.select(F.col(date).alias("execution_date")).distinct().withColumn("kinds", none)
-    else:
-        counts = df.groupBy(F.col(date).alias("execution_date")).agg(
-            F.array(*(_counters(df, c) for c in names)).alias("kinds")
-        )
+    return F.array(*(_counters(df, c) for c in names)).cast(_COUNTS)
+
+
+def counts_by_date(df: DataFrame, columns: list[str] | None = None, date: str = "_execution_date") -> DataFrame:
+    """(execution_date, kinds): one aggregation over the scan; only counters are shuffled."""
+    return df.groupBy(F.col(date).alias("execution_date")).agg(kind_counts(df, columns).alias("kinds"))
+
+
+def column_kinds(df: DataFrame, columns: list[str] | None = None, date: str = "_execution_date") -> DataFrame:
+    """One row per date and column: value counts by kind and the inferred kind."""
+    counts = counts_by_date(df, columns, date)
     return counts.select("execution_date", F.inline("kinds")).withColumn("kind", _inferred_kind())
 
 
-def _mismatch(strict: bool) -> Column:
-    """Mismatch text of one (column, kind) row, NULL when the kind is acceptable."""
-    expected = F.create_map(*(F.lit(x) for pair in EXPECTED_KINDS.items() for x in pair))[F.col("column_name")]
+def _mismatch(strict: bool, at=F.col) -> Column:
+    """Mismatch text of one column's counts, NULL when its kind is acceptable."""
+    kind = _inferred_kind(at)
+    expected = F.create_map(*(F.lit(x) for pair in EXPECTED_KINDS.items() for x in pair))[at("column_name")]
     wanted = F.when(expected == "object", "string/object").otherwise(expected)
-    text = F.concat(F.col("column_name"), F.lit(": expected "), wanted, F.lit(", got "), F.col("kind"))
+    text = F.concat(at("column_name"), F.lit(": expected "), wanted, F.lit(", got "), kind)
     same = (
-        ((expected == "int") & (F.col("kind") == "int64"))
-        | ((expected == "float") & (F.col("kind") == "float64"))
-        | ((expected == "object") & (F.col("kind") == "object"))
+        ((expected == "int") & (kind == "int64"))
+        | ((expected == "float") & (kind == "float64"))
+        | ((expected == "object") & (kind == "object"))
     )
     if not strict:
-        filled = F.col("n_rows") - F.col("n_null")
+        filled = at("n_rows") - at("n_null")
         same = (
             same
             | (filled == 0)
-            | ((expected == "int") & (F.col("n_int") == filled))
-            | ((expected == "float") & (F.col("n_float") == filled))
+            | ((expected == "int") & (at("n_int") == filled))
+            | ((expected == "float") & (at("n_float") == filled))
         )
     return F.when(~same, text)
 
 
-def schema_evolution(
-    df: DataFrame,
-    columns_by_date: DataFrame,
-    date: str = "_execution_date",
-    strict: bool = False,
-) -> DataFrame:
-    """Schema-change verdict per date: ``execution_date, check_name, status, message, failed_rows``.
+def evolution_verdict(strict: bool = False) -> tuple[Column, Column]:
+    """Status and message on a row with ``columns`` of a date's source and its ``kinds`` (NULL without rows).
 
-    ``columns_by_date`` (``execution_date, columns``) lists each date's source
-    columns; dates without rows still get a verdict.  A changed type fails, a
-    new or dropped column warns.  By default blanks in an integer column,
+    A changed type fails, a new or dropped column warns.  By default blanks in an integer column,
     whole numbers in a float column and files without rows are not changes;
     ``strict`` treats them as the whole-file type inference would.
     """
-    order = F.create_map(
-        *(x for i, c in enumerate(REQUIRED_COLUMNS) for x in (F.lit(c), F.lit(i)))
-    )[F.col("column_name")]
-    kinds = column_kinds(df, date=date).withColumns({"mismatch": _mismatch(strict), "position": order})
-    # At most one entry per required column.
-    found = kinds.groupBy("execution_date").agg(
-        F.collect_list(
-            F.when(F.col("mismatch").isNotNull(), F.struct("position", "column_name", "mismatch"))
-        ).alias("found")
-    )
     required = F.array(*(F.lit(c) for c in REQUIRED_COLUMNS))
-    relevant = F.filter(
-        F.array_sort(F.coalesce("found", _no_mismatches())),
-        lambda m: F.array_contains("columns", m["column_name"]),
-    )
-    per_date = columns_by_date.join(found, "execution_date", "left").select(
-        "execution_date",
-        F.transform(relevant, lambda m: m["mismatch"]).alias("changed"),
-        F.array_except("columns", required).alias("added"),
-        F.array_except(required, "columns").alias("dropped"),
+    added, dropped = F.array_except("columns", required), F.array_except(required, "columns")
+    own = F.filter("kinds", lambda k: F.array_contains("columns", k["column_name"]))
+    changed = F.filter(F.transform(own, lambda k: _mismatch(strict, lambda name: k[name])), lambda m: m.isNotNull())
+    # A header without rows infers every column as object.
+    empty = [f"{c}: expected {k}, got object" for c, k in EXPECTED_KINDS.items() if k != "object"] if strict else []
+    untyped = F.filter(
+        F.array(*map(F.lit, empty)).cast("array<string>"), lambda m: F.array_contains("columns", F.substring_index(m, ":", 1))
     )
-    if strict:
-        # A header without rows infers every column as object.
-        empty = F.array(
-            *(F.lit(f"{c}: expected {k}, got object") for c, k in EXPECTED_KINDS.items() if k != "object")
-        )
-        rows = kinds.select("execution_date").distinct().withColumn("has_rows", F.lit(True))
-        per_date = per_date.join(rows, "execution_date", "left").withColumn(
-            "changed",
-            F.when(
-                F.col("has_rows").isNull(),
-                F.filter(empty, lambda m: ~F.array_contains("dropped", F.substring_index(m, ":", 1))),
-            ).otherwise(F.col("changed")),
-        )
-    is_changed, is_added, is_dropped = (F.size(c) > 0 for c in ("changed", "added", "dropped"))
-    return per_date.select(
-        "execution_date",
-        F.lit("schema_evolution").alias("check_name"),
-        F.when(is_changed, "fail").when(is_added | is_dropped, "warn").otherwise("pass").alias("status"),
+    changed = F.coalesce(changed, untyped)
+    status = F.when(F.size(changed) > 0, "fail").when((F.size(added) > 0) | (F.size(dropped) > 0), "warn").otherwise("pass")
+    message = (
         F.when(
-            is_changed,
+            F.size(changed) > 0,
             F.concat(
                 F.lit("Column type mismatch detected: "),
-                name_list(F.col("changed")),
+                name_list(changed),
                 F.lit(". Pipeline aborted to prevent data corruption."),
             ),
         )
         .when(
-            is_added,
+            F.size(added) > 0,
             F.concat(
                 F.lit("New columns detected: "),
-                name_set(F.col("added")),
+                name_set(added),
                 F.lit(". Iceberg schema will be evolved automatically."),
             ),
         )
         .when(
-            is_dropped,
+            F.size(dropped) > 0,
             F.concat(
                 F.lit("Columns no longer in source: "),
-                name_set(F.col("dropped")),
+                name_set(dropped),
                 F.lit(". Existing Iceberg rows will show NULL for these columns."),
             ),
         )
         .otherwise("No schema changes detected.")
-        .alias("message"),
-        F.lit(0).cast("bigint").alias("failed_rows"),
     )
+    return status, message
 
 
-def _no_mismatches() -> Column:
-    return F.array().cast("array<struct<position:int,column_name:string,mismatch:string>>")
+def schema_evolution(
+    df: DataFrame,
+    columns_by_date: DataFrame,
+    date: str = "_execution_date",
+    strict: bool = False,
+) -> DataFrame:
+    """Schema-change verdict per date: ``execution_date, check_name, status, message, failed_rows``.
+
+    ``columns_by_date`` (``execution_date, columns``) lists each date's source
+    columns; dates without rows still get a verdict.
+    """
+    per_date = columns_by_date.join(counts_by_date(df, date=date), "execution_date", "left")
+    status, message = evolution_verdict(strict)
+    return per_date.select(
+        "execution_date",
+        F.lit("schema_evolution").alias("check_name"),
+        status.alias("status"),
+        message.alias("message"),
+        F.lit(0).cast("bigint").alias("failed_rows"),
+    )
 
 
 def require_stable_schema(verdicts: DataFrame) -> None:

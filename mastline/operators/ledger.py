@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mastline.constants import RUNNING, TRACKED_TABLES
@@ -86,3 +86,26 @@ def closing_events(
 ) -> DataFrame:
     """Events that close every key still running; finished keys get none."""
     return status_events(state.where(F.col("status") == RUNNING), status, seq, at, error)
+
+
+def folded_events(events: DataFrame) -> DataFrame:
+    """Two events per key, or one while it is running, from which the same state follows as from all of them."""
+    last = F.max("seq").over(Window.partitionBy(*LEDGER_KEY))
+    state = current_state(events)
+    newest = events.withColumn("last", last).where("seq = last").select(*LEDGER_KEY, F.col("last").alias("seq")).distinct()
+    rows = state.join(newest, LEDGER_KEY)
+    is_open = F.col("status") == RUNNING
+    none = F.lit(None)
+
+    def event(seq: Column, at: Column, status: Column) -> Column:
+        return F.struct(seq.alias("seq"), at.alias("event_at"), status.alias("status"))
+
+    opened = event(F.col("seq") - 1, F.col("start_datetime"), F.lit(RUNNING))
+    closed = event(F.col("seq"), F.coalesce("finish_datetime", "start_datetime"), F.col("status"))
+    both = F.when(is_open | F.col("start_datetime").isNull(), F.array(closed)).otherwise(F.array(opened, closed))
+    return rows.withColumn("e", F.explode(both)).select(
+        "table_name", "execution_date", "file_name", "e.seq", "e.event_at", "e.status",
+        F.when(F.col("e.seq") == F.col("seq"), F.col("error_message")).otherwise(none).alias("error_message"),
+        F.when(F.col("e.seq") == F.col("seq"), F.col("records_processed")).otherwise(none).alias("records_processed"),
+        "run_id",
+    )

@@ -9,18 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mastline.constants import NATURAL_KEY, REQUIRED_COLUMNS
+from mastline.constants import DAILY, FACT, HOURLY, NATURAL_KEY, REQUIRED_COLUMNS
 from mastline.functions import clock
-from mastline.operators import checks, clean, dedup, kinds, ledger, rollups
+from mastline.operators import checks, clean, dedup, kinds, ledger, rollups, rules, volume
 from mastline.plans.engine import Engine
 from mastline.schemas import BRONZE_SCHEMA
 from mastline.session import scratch_path, small_splits
 from mastline.sinks.tables import DatedTable, all_equal, union_evolved
 from mastline.sources import calendar, drops
-from mastline.sources.adapters import faulty_readings, readings, write_drops
+from mastline.sources.adapters import faulty_readings, readings, text_readings, write_drops
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,7 @@ class Query:
 
 
 CATALOG: dict[str, Query] = {}
+BRONZE_COLUMNS = [c for c in BRONZE_SCHEMA.names if c != "_row_seq"]
 
 
 def query(name: str, sql: str):
@@ -51,14 +52,14 @@ _R = """r AS (
   FROM events)"""
 
 
-def _x(bad: str = "'bad'") -> str:
+def _x(bad: str = "'bad'", odd: str = "'n/a'") -> str:
     return f"""{_R}, x AS (
   SELECT seq + copy * 1000000000 AS seq,
          CASE WHEN seq % 19 = 0 THEN {bad} ELSE CAST(tower_id AS VARCHAR) END AS tower_id,
          CASE WHEN seq % 17 <> 0 THEN region END AS region,
          CASE WHEN seq % 37 <> 0 THEN CAST("timestamp" + CASE WHEN seq % 31 = 0 THEN 86400 ELSE 0 END AS VARCHAR)
          END AS "timestamp",
-         CASE WHEN seq % 23 <> 0 THEN CAST(signal_strength AS VARCHAR) END AS signal_strength,
+         CASE WHEN seq % 23 = 0 THEN {odd} ELSE CAST(signal_strength AS VARCHAR) END AS signal_strength,
          CAST(CASE WHEN seq % 29 = 0 THEN -(data_volume_mb + copy) ELSE data_volume_mb + copy END AS VARCHAR)
            AS data_volume_mb,
          execution_date
@@ -66,16 +67,16 @@ def _x(bad: str = "'bad'") -> str:
   WHERE copy = 0 OR seq % 10 = 0)"""
 
 
-def _typed(bad: str = "'bad'") -> str:
-    return f"""{_x(bad)}, t AS (
+def _typed(bad: str = "'bad'", odd: str = "'n/a'") -> str:
+    return f"""{_x(bad, odd)}, t AS (
   SELECT seq, TRY_CAST(tower_id AS BIGINT) AS tower_id, region, TRY_CAST("timestamp" AS BIGINT) AS "timestamp",
          TRY_CAST(signal_strength AS DOUBLE) AS signal_strength,
          TRY_CAST(data_volume_mb AS DOUBLE) AS data_volume_mb, execution_date
   FROM x)"""
 
 
-def _silver(bad: str = "'bad'") -> str:
-    return f"""{_typed(bad)}, s AS (
+def _silver(bad: str = "'bad'", odd: str = "'n/a'") -> str:
+    return f"""{_typed(bad, odd)}, s AS (
   SELECT *, make_timestamp("timestamp" * 1000000) AS event_datetime,
          strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS event_date,
          CAST(hour(make_timestamp("timestamp" * 1000000)) AS INTEGER) AS event_hour
@@ -543,6 +544,29 @@ def clean_daily(spark, folder):
     return rollups.daily_rollup(silver_clean(spark, folder))
 
 
+@query("daily_without_volume", f"""WITH {_R}, g AS (
+  SELECT * REPLACE (CASE WHEN region <> 'error' THEN data_volume_mb END AS data_volume_mb) FROM r) {_rollup_sql('g', 'region')}""")
+def daily_without_volume(spark, folder):
+    """One region has no volume at all: its total is zero."""
+    rows = readings(spark, folder)
+    return rollups.daily_rollup(rows.withColumn("data_volume_mb", F.when(F.col("region") != "error", F.col("data_volume_mb"))))
+
+
+@query(
+    "approximate_towers",
+    f"""WITH {_R} SELECT region, execution_date, COUNT(*) AS record_count, TRUE AS within_bound FROM r GROUP BY 1, 2""",
+)
+def approximate_towers(spark, folder):
+    """Towers per region and day from sketches per region and hour, within 5 % of the exact count."""
+    rows = _timed(spark, folder)
+    stored = _lake(spark)[0]
+    stored.write_table("mine.sketches", rollups.tower_sketches(rows), "execution_date")
+    about = rollups.approximate_towers(stored.read_table("mine.sketches"), ["region", "execution_date"])
+    exact = rollups.daily_rollup(rows).select("region", "execution_date", F.col("tower_count").alias("exact"))
+    near = F.abs(F.col("tower_count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return about.join(exact, ["region", "execution_date"]).select("region", "execution_date", "record_count", near.alias("within_bound"))
+
+
 # -- quality ---------------------------------------------------------------
 
 
@@ -623,10 +647,13 @@ _KIND_SQL = """CASE WHEN n_rows = 0 THEN 'object' WHEN n_null = n_rows THEN 'flo
   WHEN n_bool = n_rows - n_null THEN CASE WHEN n_null > 0 THEN 'object' ELSE 'bool' END
   WHEN n_int = n_rows THEN 'int64' WHEN n_float = n_rows - n_null THEN 'float64' ELSE 'object' END"""
 _EVOLUTION_PARTS = f"""c AS ({_COUNTS_SQL}), m AS (
-  SELECT execution_date, string_agg('''' || column_name || ': expected int, got ' || kind || '''', ', ' ORDER BY place)
+  SELECT execution_date, string_agg('''' || column_name || ': expected ' || wanted || ', got ' || kind || '''', ', ' ORDER BY place)
     AS found
-  FROM (SELECT *, {_KIND_SQL} AS kind, CASE column_name WHEN 'tower_id' THEN 0 ELSE 1 END AS place FROM c)
+  FROM (SELECT *, {_KIND_SQL} AS kind,
+      CASE column_name WHEN 'tower_id' THEN 0 WHEN 'timestamp' THEN 1 ELSE 2 END AS place,
+      CASE column_name WHEN 'signal_strength' THEN 'float' ELSE 'int' END AS wanted FROM c)
   WHERE column_name IN ('tower_id', 'timestamp') AND n_int <> n_rows - n_null
+    OR column_name = 'signal_strength' AND n_float <> n_rows - n_null
   GROUP BY execution_date)"""
 
 
@@ -736,6 +763,233 @@ def schema_evolution(spark, folder):
     return kinds.schema_evolution(source, by_date.withColumn("columns", columns))
 
 
+# -- every status and text ---------------------------------------------------
+
+# Clean text readings; every third day holds the faults instead, and other days' sources lack columns.
+_DAY = "CAST(right(execution_date, 2) AS INTEGER)"
+_VARIED = f"""{_x()}, z AS (
+  SELECT seq, CAST(tower_id AS VARCHAR) AS tower_id, region, CAST("timestamp" AS VARCHAR) AS "timestamp",
+    CAST(least(signal_strength, -40.5) AS VARCHAR) AS signal_strength, CAST(data_volume_mb AS VARCHAR) AS data_volume_mb,
+    execution_date FROM r
+), y AS (SELECT * FROM x WHERE {_DAY} % 3 = 0 UNION ALL BY NAME SELECT * FROM z WHERE {_DAY} % 3 <> 0
+), dates AS (
+  SELECT DISTINCT execution_date, {_DAY} % 6 <> 2 AS metrics, {_DAY} % 6 <> 5 AS keys FROM y
+  UNION ALL SELECT 'undated', TRUE, TRUE)"""
+
+
+def _status_sql() -> str:
+    keys, metrics = ["tower_id", "region", "timestamp"], ["signal_strength", "data_volume_mb"]
+    nulls = [(c, f'CASE WHEN {"keys" if c in keys else "metrics"} THEN coalesce(n_{c}, 0) ELSE 0 END') for c in REQUIRED_COLUMNS]
+    total = " + ".join(e for _, e in nulls)
+    detail = ", ".join(f"CASE WHEN {e} > 0 THEN '{c}=' || {e} END" for c, e in nulls)
+    lacking = "CASE WHEN NOT keys THEN '{''region'', ''timestamp'', ''tower_id''}' WHEN NOT metrics THEN '{''data_volume_mb'', ''signal_strength''}' END"
+
+    def part(name: str, status: str, message: str, failed: str = "0") -> str:
+        return f"SELECT execution_date, '{name}' AS check_name, {status} AS status, {message} AS message, CAST({failed} AS BIGINT) AS failed_rows FROM v"
+
+    def metric(name: str, column: str, has: str, n: str, found: str, none: str) -> str:
+        return part(
+            name,
+            f"CASE WHEN NOT {has} OR {n} > 0 THEN 'warn' ELSE 'pass' END",
+            f"CASE WHEN NOT {has} THEN 'Column {column} missing, skipped.' WHEN {n} > 0 THEN {n} || {found} ELSE {none} END",
+            f"CASE WHEN {has} THEN {n} ELSE 0 END",
+        )
+
+    signal, volume, seconds = (f'TRY_CAST("{c}" AS {t})' for c, t in (("signal_strength", "DOUBLE"), ("data_volume_mb", "DOUBLE"), ("timestamp", "BIGINT")))
+    fresh = metric("timestamp_freshness", "timestamp", "keys", "bad_time", "' rows have timestamps outside ' || execution_date || '.'", "'All timestamps within ' || execution_date || '.'")
+    undated = "'Could not validate freshness: time data ''undated'' does not match format ''%Y-%m-%d'''"
+    parts = [
+        part("not_empty", "CASE WHEN n = 0 THEN 'fail' ELSE 'pass' END", "CASE WHEN n = 0 THEN 'File contains zero rows.' ELSE n || ' rows found.' END"),
+        part("schema_columns", f"CASE WHEN {lacking} IS NULL THEN 'pass' ELSE 'fail' END", f"coalesce('Missing columns: ' || {lacking}, 'All required columns present.')"),
+        part("null_check", f"CASE WHEN {total} > 0 THEN 'warn' ELSE 'pass' END", f"CASE WHEN {total} > 0 THEN 'Nulls found — ' || concat_ws(', ', {detail}) ELSE 'No nulls in required columns.' END", f"({total})"),
+        metric("signal_range", "signal_strength", "metrics", "bad_signal", "' rows outside expected range [-120.0, -40.0] dBm.'", "'All values in [-120.0, -40.0] dBm.'"),
+        metric("data_volume_positive", "data_volume_mb", "metrics", "bad_volume", "' rows with negative data_volume_mb.'", "'All data_volume_mb values ≥ 0.'"),
+        f"SELECT execution_date, check_name, CASE WHEN execution_date = 'undated' THEN 'warn' ELSE status END, CASE WHEN execution_date = 'undated' THEN {undated} ELSE message END, failed_rows FROM ({fresh})",
+        part(
+            "duplicate_rows",
+            "CASE WHEN NOT keys OR copies > 0 THEN 'warn' ELSE 'pass' END",
+            "CASE WHEN NOT keys THEN 'Key columns missing, skipped.' WHEN copies > 0 THEN copies || ' duplicate rows on [''tower_id'', ''region'', ''timestamp''].' ELSE 'No duplicate rows.' END",
+            "CASE WHEN keys THEN copies ELSE 0 END",
+        ),
+    ]
+    counts = ", ".join(f'COUNT(*) FILTER ("{c}" IS NULL) AS n_{c}' for c in [*keys, *metrics])
+    return f"""WITH {_VARIED}, c AS (
+  SELECT execution_date, COUNT(*) AS n, {counts},
+    COUNT(*) FILTER ({signal} < -120 OR {signal} > -40) AS bad_signal, COUNT(*) FILTER ({volume} < 0) AS bad_volume,
+    COUNT(*) FILTER ({seconds} < epoch(execution_date::TIMESTAMP) OR {seconds} > epoch(execution_date::TIMESTAMP) + 86399) AS bad_time
+  FROM y GROUP BY execution_date), u AS (
+  SELECT execution_date, CAST(SUM(CASE WHEN k > 1 THEN k ELSE 0 END) AS BIGINT) AS copies FROM (
+    SELECT execution_date, COUNT(*) AS k FROM y GROUP BY execution_date, tower_id, region, "timestamp") GROUP BY 1), v AS (
+  SELECT d.execution_date, metrics, keys, coalesce(n, 0) AS n, {", ".join(f"n_{c}" for c in [*keys, *metrics])},
+    coalesce(bad_signal, 0) AS bad_signal, coalesce(bad_volume, 0) AS bad_volume, coalesce(bad_time, 0) AS bad_time,
+    coalesce(copies, 0) AS copies
+  FROM dates d LEFT JOIN c USING (execution_date) LEFT JOIN u USING (execution_date))
+{" UNION ALL ".join(parts)}"""
+
+
+def _day() -> Column:
+    return F.right("execution_date", F.lit(2)).cast("int")
+
+
+@query("dq_statuses", _status_sql())
+def dq_statuses(spark, folder):
+    """Clean and faulty days, days whose sources lack metrics or keys, and one that is no date and has no rows."""
+    day = F.right("_execution_date", F.lit(2)).cast("int")
+    rows = faulty_readings(spark, folder).where(day % 3 == 0).unionByName(text_readings(spark, folder).where(day % 3 != 0))
+    dates = rows.select(F.col("_execution_date").alias("execution_date")).distinct()
+    every, keys, metrics = (
+        F.array(*(F.lit(c) for c in columns))
+        for columns in (REQUIRED_COLUMNS, NATURAL_KEY, [c for c in REQUIRED_COLUMNS if c not in NATURAL_KEY])
+    )
+    columns = F.when(_day() % 6 == 2, keys).when(_day() % 6 == 5, metrics).otherwise(every)
+    undated = dates.agg(F.lit("undated").alias("execution_date")).withColumn("columns", every)
+    return checks.run_checks(rows, dates.withColumn("columns", columns).unionByName(undated))
+
+
+_CHANGES = f"""{_R}, d AS (SELECT execution_date, {_DAY} % 4 AS k, COUNT(*) FILTER (seq % 19 = 0) AS bad FROM r GROUP BY 1, 2)"""
+
+
+@query(
+    "schema_changes",
+    f"""WITH {_CHANGES}
+SELECT execution_date, 'schema_evolution' AS check_name,
+  CASE WHEN k = 3 AND bad > 0 THEN 'fail' WHEN k IN (1, 2) THEN 'warn' ELSE 'pass' END AS status,
+  CASE WHEN k = 3 AND bad > 0 THEN 'Column type mismatch detected: [''tower_id: expected int, got object'']. Pipeline aborted to prevent data corruption.'
+    WHEN k = 1 THEN 'New columns detected: {{''antenna'', ''vendor''}}. Iceberg schema will be evolved automatically.'
+    WHEN k = 2 THEN 'Columns no longer in source: {{''region''}}. Existing Iceberg rows will show NULL for these columns.'
+    ELSE 'No schema changes detected.' END AS message, CAST(0 AS BIGINT) AS failed_rows
+FROM d""",
+)
+def schema_changes(spark, folder):
+    """Days without a change, with new columns, without a column, and with text in a whole-number column."""
+    day = F.right("_execution_date", F.lit(2)).cast("int")
+    bad = (day % 4 == 3) & (F.col("seq") % 19 == 0)
+    rows = text_readings(spark, folder).withColumn("tower_id", F.when(bad, "bad").otherwise(F.col("tower_id")))
+    every, more, fewer = (
+        F.array(*(F.lit(c) for c in columns))
+        for columns in (REQUIRED_COLUMNS, [*REQUIRED_COLUMNS, "vendor", "antenna"], [c for c in REQUIRED_COLUMNS if c != "region"])
+    )
+    dates = rows.select(F.col("_execution_date").alias("execution_date")).distinct()
+    return kinds.schema_evolution(rows, dates.withColumn("columns", F.when(_day() % 4 == 1, more).when(_day() % 4 == 2, fewer).otherwise(every)))
+
+
+@query(
+    "schema_changes_strict",
+    f"""WITH {_R}, d AS (
+  SELECT execution_date, {_DAY} % 2 = 0 AND COUNT(*) FILTER (seq % 37 = 0) > 0 AS gaps FROM r GROUP BY 1)
+SELECT execution_date, 'schema_evolution' AS check_name, CASE WHEN gaps THEN 'fail' ELSE 'pass' END AS status,
+  CASE WHEN gaps THEN 'Column type mismatch detected: [''timestamp: expected int, got float64'']. Pipeline aborted to prevent data corruption.'
+    ELSE 'No schema changes detected.' END AS message, CAST(0 AS BIGINT) AS failed_rows
+FROM d
+UNION ALL SELECT '2099-01-01', 'schema_evolution', 'fail',
+  'Column type mismatch detected: [''tower_id: expected int, got object'', ''timestamp: expected int, got object'', ''signal_strength: expected float, got object'', ''data_volume_mb: expected float, got object'']. Pipeline aborted to prevent data corruption.', 0""",
+)
+def schema_changes_strict(spark, folder):
+    """As a whole-file reader types columns: gaps make whole numbers floating, a header alone makes all columns text."""
+    day = F.right("_execution_date", F.lit(2)).cast("int")
+    gap = (day % 2 == 0) & (F.col("seq") % 37 == 0)
+    rows = text_readings(spark, folder).withColumn("timestamp", F.when(~gap, F.col("timestamp")))
+    dates = rows.select(F.col("_execution_date").alias("execution_date")).distinct()
+    dates = dates.unionByName(dates.agg(F.lit("2099-01-01").alias("execution_date")))
+    return kinds.schema_evolution(rows, dates.withColumn("columns", F.array(*(F.lit(c) for c in REQUIRED_COLUMNS))), strict=True)
+
+
+@query(
+    "prewrite_gate",
+    f"""WITH {_R}, b AS (SELECT execution_date FROM r WHERE seq % 19 = 0 GROUP BY 1), m AS (
+  SELECT 'Column type mismatch detected: [''tower_id: expected int, got object'']. Pipeline aborted to prevent data corruption.' AS text)
+SELECT 'Schema evolution check failed — aborting bronze write: ' ||
+  CASE WHEN COUNT(*) = 1 THEN any_value(text) ELSE string_agg(execution_date || ': ' || text, '; ' ORDER BY execution_date) END AS message,
+  CAST(0 AS BIGINT) AS bronze_rows
+FROM b, m""",
+)
+def prewrite_gate(spark, folder):
+    """A changed type stops the load before anything is written."""
+    source = scratch_path(spark, "drops")
+    rows = text_readings(spark, folder).withColumn("tower_id", F.when(F.col("seq") % 19 == 0, "bad").otherwise(F.col("tower_id")))
+    write_drops(rows, source)
+    engine = Engine(spark, source, scratch_path(spark, "bronze"))
+    dates = [r[0] for r in rows.select("_execution_date").distinct().collect()]
+    try:
+        engine.ingest_bronze(dates, "scan")
+        message = None
+    except kinds.SchemaEvolutionError as error:
+        message = str(error)
+    return engine.read_bronze(dates).agg(F.lit(message).alias("message"), F.count("*").alias("bronze_rows"))
+
+
+@query(
+    "dq_log_json",
+    f"""WITH {_x("NULL", "NULL")}, {_dq_sql('x', BRONZE_COLUMNS)} SELECT *, 'log' AS run_id FROM q""",
+)
+def dq_log_json(spark, folder):
+    """The quality log as one JSON array per date, read back."""
+    source, out = scratch_path(spark, "drops"), scratch_path(spark, "json")
+    rows = faulty_readings(spark, folder, bad_tower=None)
+    write_drops(rows, source)
+    engine = Engine(spark, source, scratch_path(spark, "bronze"), dq_json=out)
+    dates = [r[0] for r in rows.select("_execution_date").distinct().collect()]
+    engine.ingest_bronze(dates, "log")
+    engine.run_dq_checks(dates, "log")
+    return spark.read.json(out).withColumn("execution_date", F.col("execution_date").cast("string")).drop("checked_at")
+
+
+# -- configured rules and volumes ------------------------------------------
+
+
+@query(
+    "configured_silver",
+    f"""WITH {_silver()} SELECT seq, tower_id, region, "timestamp", signal_strength, data_volume_mb,
+  execution_date AS _execution_date FROM s""",
+)
+def configured_silver(spark, folder):
+    """Typing, complete keys and keep-first as rows of a rule table say."""
+    return rules.Rules(rules.reading_rules(spark)).clean(faulty_readings(spark, folder), ["seq"])
+
+
+_RULED = {
+    "tower_id": ("BIGINT", "FALSE"),
+    "region": ("VARCHAR", "FALSE"),
+    "timestamp": ("BIGINT", "FALSE"),
+    "signal_strength": ("DOUBLE", "{v} < -120 OR {v} > -40"),
+    "data_volume_mb": ("DOUBLE", "{v} < 0"),
+}
+
+
+def _ruled_sql(column: str, kind: str, outside: str) -> str:
+    value = f'TRY_CAST("{column}" AS {kind})'
+    return f"""SELECT execution_date, '{column}' AS column_name, COUNT(*) AS n_rows, COUNT(*) FILTER ("{column}" IS NULL) AS n_missing,
+  COUNT(*) FILTER ("{column}" IS NOT NULL AND {value} IS NULL) AS n_unreadable,
+  COUNT(*) FILTER ({outside.format(v=value)}) AS n_outside FROM x GROUP BY 1"""
+
+
+@query("configured_counts", f"WITH {_x()} {' UNION ALL '.join(_ruled_sql(c, *k) for c, k in _RULED.items())}")
+def configured_counts(spark, folder):
+    """Missing, unreadable and out-of-range values per date and column, by the same rule table."""
+    return rules.Rules(rules.reading_rules(spark)).counts(faulty_readings(spark, folder))
+
+
+@query(
+    "received_volume",
+    f"""WITH {_R}, k AS (
+  SELECT execution_date, COUNT(*) AS n FROM r
+  WHERE {_DAY} % 10 <> 5 AND ({_DAY} % 7 <> 3 OR seq % 4 = 0) GROUP BY 1), spine AS (
+  SELECT strftime(unnest(generate_series(MIN(execution_date)::DATE, MAX(execution_date)::DATE, INTERVAL 1 DAY)), '%Y-%m-%d') AS execution_date FROM r),
+v AS (SELECT execution_date, coalesce(n, 0) AS rows FROM spine LEFT JOIN k USING (execution_date)),
+w AS (SELECT *, last_value(nullif(rows, 0) IGNORE NULLS) OVER (ORDER BY execution_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_rows FROM v)
+SELECT *, CASE WHEN rows > 0 THEN rows / previous_rows END AS change,
+  CASE WHEN rows = 0 THEN 'missing' WHEN previous_rows IS NULL THEN 'first' WHEN rows / previous_rows < 0.5 THEN 'drop'
+    WHEN rows / previous_rows > 2 THEN 'surge' ELSE 'steady' END AS status
+FROM w""",
+)
+def received_volume(spark, folder):
+    """Rows per date next to the last date that had any; some dates are missing, some bring a quarter."""
+    day = F.right("_execution_date", F.lit(2)).cast("int")
+    rows = readings(spark, folder)
+    some = rows.where((day % 10 != 5) & ((day % 7 != 3) | (F.col("seq") % 4 == 0)))
+    return volume.received_volume(volume.row_counts(some), calendar.covered_range(rows, "_execution_date"))
+
+
 # -- ledger ----------------------------------------------------------------
 
 _TABLES_SQL = (
@@ -838,7 +1092,7 @@ def _finished_run(spark, folder) -> Engine:
     return engine
 
 
-_PIPELINE = _silver("NULL")
+_PIPELINE = _silver("NULL", "NULL")  # files hold what means "missing"
 
 
 @query(
@@ -865,12 +1119,9 @@ def backfill_daily(spark, folder):
     return _finished_run(spark, folder).read_table("gold.network_metrics_daily")
 
 
-_LOGGED_COLUMNS = [c for c in BRONZE_SCHEMA.names if c != "_row_seq"]
-
-
 @query(
     "backfill_dq_log",
-    f"""WITH {_x("NULL")}, {_dq_sql('x', _LOGGED_COLUMNS)} SELECT *, 'backfill' AS run_id FROM q""",
+    f"""WITH {_x("NULL", "NULL")}, {_dq_sql('x', BRONZE_COLUMNS)} SELECT *, 'backfill' AS run_id FROM q""",
 )
 def backfill_dq_log(spark, folder):
     return _finished_run(spark, folder).read_table("pipeline.dq_log").drop("checked_at")
@@ -891,3 +1142,74 @@ SELECT 'backfill' AS run_id, table_name, execution_date,
 def backfill_ledger(spark, folder):
     state = _finished_run(spark, folder).ledger.state("backfill")
     return state.drop("start_datetime", "finish_datetime")
+
+
+# Dates that end in 7 have no source; on odd days the source has a further column, in front.
+_GAPS = f"""{_R_TIMED}, u AS (
+  SELECT *, CASE WHEN {_DAY} % 2 = 1 THEN 'vendor of ' || region END AS vendor FROM g WHERE {_DAY} % 10 <> 7)"""
+
+
+def _run_with_gaps(spark, folder) -> Engine:
+    source = scratch_path(spark, "drops")
+    day = F.right("_execution_date", F.lit(2)).cast("int")
+    rows = text_readings(spark, folder).drop("signal_strength").join(readings(spark, folder).select("seq", "signal_strength"), "seq")
+    rows = rows.where(day % 10 != 7).withColumn("vendor", F.concat(F.lit("vendor of "), "region"))
+    write_drops(rows.where(day % 2 == 0), source)
+    write_drops(rows.where(day % 2 == 1), source, ("vendor",))
+    ends = readings(spark, folder).agg(F.min("_execution_date").alias("first"), F.max("_execution_date").alias("last")).first()
+    engine = Engine(spark, source, scratch_path(spark, "lake"))
+    engine.run("gaps", ends.last, ends.first, ends.last)
+    return engine
+
+
+@query(
+    "gaps_silver",
+    f"""WITH {_GAPS} SELECT tower_id, region, "timestamp", signal_strength, data_volume_mb, vendor, event_hour,
+  execution_date AS _execution_date FROM u""",
+)
+def gaps_silver(spark, folder):
+    """A run over dates of which some have no source and some another header."""
+    columns = [*REQUIRED_COLUMNS, "vendor", "event_hour", "_execution_date"]
+    return _run_with_gaps(spark, folder).read_table("silver.network_metrics_clean").select(*columns)
+
+
+@query(
+    "gaps_ledger",
+    f"""WITH {_GAPS}, n AS (
+  SELECT 'bronze.network_metrics_raw' AS table_name, execution_date, COUNT(*) AS n FROM u GROUP BY 2
+  UNION ALL SELECT 'silver.network_metrics_clean', execution_date, COUNT(*) FROM u GROUP BY 2
+  UNION ALL SELECT 'gold.fact_tower_daily_snapshot', execution_date, COUNT(DISTINCT (tower_id, region)) FROM u GROUP BY 2
+  UNION ALL SELECT 'gold.network_metrics_hourly', execution_date, COUNT(DISTINCT (region, event_hour)) FROM u GROUP BY 2
+  UNION ALL SELECT 'gold.network_metrics_daily', execution_date, COUNT(DISTINCT region) FROM u GROUP BY 2), spine AS (
+  SELECT strftime(unnest(generate_series(MIN(execution_date)::DATE, MAX(execution_date)::DATE, INTERVAL 1 DAY)), '%Y-%m-%d') AS execution_date FROM r)
+SELECT 'gaps' AS run_id, table_name, execution_date, 'network_metrics_' || replace(execution_date, '-', '') || '.csv' AS file_name,
+  CASE WHEN n IS NULL THEN 'skipped' ELSE 'success' END AS status,
+  CASE WHEN n IS NULL THEN 'No source file for date(s): [''' || execution_date || ''']' END AS error_message, n AS records_processed
+FROM spine CROSS JOIN {_TABLES_SQL} LEFT JOIN n USING (table_name, execution_date)""",
+)
+def gaps_ledger(spark, folder):
+    """The ledger of that run, folded to one file: dates without a source are skipped, the others go on."""
+    return _run_with_gaps(spark, folder).ledger.state("gaps").drop("start_datetime", "finish_datetime")
+
+
+@query(
+    "gold_order",
+    f"""WITH {_PIPELINE}
+SELECT 'fact' AS kind, row_number() OVER (ORDER BY execution_date, tower_id, region) AS place, execution_date,
+  tower_id, region, NULL::INTEGER AS event_hour FROM (SELECT DISTINCT execution_date, tower_id, region FROM s)
+UNION ALL
+SELECT 'hourly', row_number() OVER (ORDER BY execution_date, region, event_hour), execution_date, NULL, region, event_hour
+FROM (SELECT DISTINCT execution_date, region, event_hour FROM s)
+UNION ALL
+SELECT 'daily', row_number() OVER (ORDER BY execution_date, region), execution_date, NULL, region, NULL
+FROM (SELECT DISTINCT execution_date, region FROM s)""",
+)
+def gold_order(spark, folder):
+    """The place at which each row of an aggregate comes when it is read for presentation."""
+    engine = _finished_run(spark, folder)
+    parts = []
+    for kind, name in (("fact", FACT), ("hourly", HOURLY), ("daily", DAILY)):
+        read = engine.read_gold(name).withColumn("id", F.monotonically_increasing_id())
+        placed = read.withColumn("place", F.row_number().over(Window.orderBy("id")).cast("long")).withColumn("kind", F.lit(kind))
+        parts.append(placed.select("kind", "place", "execution_date", *(c for c in ("tower_id", "region", "event_hour") if c in read.columns)))
+    return union_evolved(parts)

@@ -23,12 +23,13 @@ from mastline.constants import (
     LINEAGE_COLUMNS,
     REQUIRED_COLUMNS,
     SILVER,
+    SKETCHES,
     SKIPPED,
     SUCCESS,
     TRACKED_TABLES,
 )
 from mastline.functions.clock import utc_now
-from mastline.operators import checks, clean, dedup, kinds, rollups
+from mastline.operators import checks, clean, dedup, kinds, rollups, volume
 from mastline.session import size_shuffles, small_frame
 from mastline.sinks.ledger import RunLedger
 from mastline.sinks.tables import DatedTable, LayoutConflictError, all_equal
@@ -42,7 +43,7 @@ _TYPED = [c for c in REQUIRED_COLUMNS if c != "region"]
 class Engine:
     """Daily reading files to bronze, silver and gold below ``base``.
 
-    With ``dq_json``, a folder, the quality stage also writes its log there as JSON lines.
+    With ``dq_json``, a folder, the quality stage also writes its log there, a JSON array per date.
 
     ``source`` is the folder the daily files arrive in.  Every stage takes one
     date or many; many dates are one Spark job per write, not a loop.
@@ -66,6 +67,7 @@ class Engine:
             HOURLY: ("execution_date", schemas.HOURLY_SCHEMA),
             DAILY: ("execution_date", schemas.DAILY_SCHEMA),
             DQ_LOG: ("execution_date", schemas.DQ_SCHEMA),
+            SKETCHES: ("execution_date", schemas.SKETCH_SCHEMA),
         }
         self.tables = {
             name: DatedTable(self.spark, self._path(name), key, schema)
@@ -154,14 +156,18 @@ class Engine:
         return {}
 
     def export_dq_json(self, dates: str | list[str], path: str) -> None:
-        """The dates' log entries as JSON lines, one folder per date."""
+        """The dates' log entries, as one JSON array per date in a folder of its own."""
+        log = self.tables[DQ_LOG].read(dates=_listed(dates))
+        place = F.array_position(F.array(*map(F.lit, [*checks.ALL_CHECKS, checks.EVOLUTION])), F.col("check_name"))
+        entry = F.struct(place.alias("place"), F.struct(*log.columns).alias("entry"))  # eight a date at most
+        arrays = log.groupBy("execution_date").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        text = F.to_json(F.transform("entries", lambda e: e["entry"]), {"ignoreNullFields": "false"})
         (
-            self.tables[DQ_LOG]
-            .read(dates=_listed(dates))
+            arrays.select("execution_date", text.alias("value"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("execution_date")
-            .json(path)
+            .text(path)
         )
 
     # -- silver ------------------------------------------------------------
@@ -226,6 +232,21 @@ class Engine:
         finally:
             base.unpersist()
 
+    def write_tower_sketches(self, dates: str | list[str]) -> None:
+        """Silver to mergeable sketches per region and hour: an addition to the exact counts, not their replacement."""
+        listed = _listed(dates)
+        self.tables[SKETCHES].replace(rollups.tower_sketches(self.read_silver(listed)), listed, counted=False)
+
+    def approximate_towers(self, dates: str | list[str], keys: list[str]) -> DataFrame:
+        """Approximate tower and exact record counts of any grain of region, hour and date, from the sketches of ``dates``."""
+        return rollups.approximate_towers(self.tables[SKETCHES].read(dates=_listed(dates)), keys)
+
+    def received_volume(self, start: str, end: str, **limits: float) -> DataFrame:
+        """How many rows each date of a range brought to bronze, next to the last date that brought any."""
+        spine = calendar.date_spine(self.spark, start, end)
+        held = self.tables[BRONZE].read().where(F.col("_execution_date").between(start, end))
+        return volume.received_volume(volume.row_counts(held), spine, **limits)
+
     def read_gold(self, name: str, dates: str | list[str] | None = None) -> DataFrame:
         """An aggregate in presentation order: by date, then by its own keys."""
         frame = self.tables[name].read(dates=None if dates is None else _listed(dates))
@@ -338,6 +359,7 @@ class Engine:
         self._stage(run_id, [SILVER], dates, lambda: {SILVER: self.process_silver(dates, run_id, rows[BRONZE])})
         self._stage(run_id, [FACT, HOURLY, DAILY], dates, lambda: self.process_gold(dates, run_id))
         self.ledger.update_all_running(run_id, SUCCESS)
+        self.ledger.fold(run_id)
         return self.ledger.state(run_id)
 
     def _stage(self, run_id: str, names: list[str], dates: list[str], work) -> dict[str, dict[str, int]]:

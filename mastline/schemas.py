@@ -65,6 +65,16 @@ HOURLY_SCHEMA = T.StructType(
 )
 DAILY_SCHEMA = T.StructType([T.StructField("region", T.StringType()), *_ROLLUP])
 
+SKETCH_SCHEMA = T.StructType(
+    [
+        T.StructField("region", T.StringType()),
+        T.StructField("event_hour", T.IntegerType()),
+        T.StructField("towers", T.BinaryType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("execution_date", T.StringType()),
+    ]
+)
+
 DQ_SCHEMA = T.StructType(
     [
         T.StructField("check_name", T.StringType()),

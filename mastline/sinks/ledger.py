@@ -83,3 +83,8 @@ class RunLedger:
         """Close every key of the run that is still running."""
         error = F.lit(error_message).cast("string")
         self.table.append(fold.closing_events(self.state(run_id), status, *self._tick(), error=error))
+
+    def fold(self, run_id: str) -> None:
+        """Replace the events of a run, one or more files a batch, by a single file that gives the same state."""
+        events = self.table.read({"run_id": run_id})
+        self.table.replace(fold.folded_events(events).coalesce(1), [run_id], rebalance=False, counted=False)

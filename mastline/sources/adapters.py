@@ -47,14 +47,21 @@ def faulty_readings(spark: SparkSession, folder: str, bad_tower: str | None = "b
             ~every(37),
             (F.col("timestamp") + F.when(every(31), clock.DAY_SECONDS).otherwise(0)).cast("string"),
         ).alias("timestamp"),
-        F.when(~every(23), F.col("signal_strength").cast("string")).alias("signal_strength"),
+        F.when(every(23), F.lit("n/a")).otherwise(F.col("signal_strength").cast("string")).alias("signal_strength"),
         F.when(every(29), -volume).otherwise(volume).cast("string").alias("data_volume_mb"),
         "_execution_date",
     )
 
 
-def write_drops(df: DataFrame, folder: str) -> None:
-    """Write readings as one daily source per date, rows in ``seq`` order.
+def text_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean readings as text, signals within their range."""
+    signal = F.least("signal_strength", F.lit(-40.5))
+    clean = readings(spark, folder).withColumn("signal_strength", signal)
+    return clean.withColumns({c: F.col(c).cast("string") for c in REQUIRED_COLUMNS})
+
+
+def write_drops(df: DataFrame, folder: str, more: tuple[str, ...] = ()) -> None:
+    """Write readings as one daily source per date, rows in ``seq`` order, columns ``more`` first.
 
     Ranges over (date, seq) keep the order across part files without putting a
     whole date into one task.
@@ -63,7 +70,8 @@ def write_drops(df: DataFrame, folder: str) -> None:
     (
         named.repartitionByRange("drop", "seq")
         .sortWithinPartitions("drop", "seq")
-        .select("drop", *REQUIRED_COLUMNS)
-        .write.partitionBy("drop")
+        .select("drop", *more, *REQUIRED_COLUMNS)
+        .write.mode("append")
+        .partitionBy("drop")
         .csv(folder, header=True, escape='"')
     )

@@ -246,3 +246,36 @@ def test_quality_log_as_json_in_a_run(spark, tmp_path, drop, engine):
     logging.run("r1", DAY)
     assert spark.read.json(out).count() == 7
     assert logging.read_table(LEDGER, {"run_id": "r1"}).count() == 5
+
+
+def test_jobs_of_a_run_do_not_grow_with_its_dates(spark, tmp_path):
+    import datetime
+
+    used = []
+    for n in (40, 100):  # beyond 32 folders Spark lists them by a job
+        folder = tmp_path / f"in{n}"
+        folder.mkdir()
+        days = [datetime.date(2025, 1, 1) + datetime.timedelta(k) for k in range(n)]
+        for d in days:
+            start = int(datetime.datetime(d.year, d.month, d.day, tzinfo=datetime.UTC).timestamp())
+            rows = [f"{t},North,{start + 60 * t},-75.5,{t}" for t in range(4)]
+            write_csv(folder, str(d), "\n".join([",".join(REQUIRED_COLUMNS), *rows, rows[0], ""]))
+        engine = Engine(spark, str(folder), str(tmp_path / f"lake{n}"))
+        spark.sparkContext.setJobGroup(f"run of {n}", "")
+        state = engine.run("r", str(days[-1]), str(days[0]), str(days[-1]))
+        used.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"run of {n}")))
+        assert {(r.status, r.records_processed) for r in state.collect() if "daily" in r.table_name} >= {("success", 1)}
+        assert engine.read_silver([str(d) for d in days]).count() == 4 * n
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < used[1] <= used[0] + 3, used
+
+
+def test_received_volume_and_sketches_of_a_lake(engine, drop):
+    drop(DAY, lines())
+    engine.run("r1", DAY)
+    got = engine.received_volume("2025-07-22", "2025-07-24").orderBy("execution_date").collect()
+    assert [r.status for r in got] == ["missing", "first", "missing"] and got[1].rows == engine.read_bronze(DAY).count()
+    engine.write_tower_sketches(DAY)
+    exact = {r.region: r.tower_count for r in engine.read_gold("gold.network_metrics_daily").collect()}
+    about = {r.region: r.tower_count for r in engine.approximate_towers(DAY, ["region"]).collect()}
+    assert about == exact

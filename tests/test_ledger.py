@@ -103,3 +103,25 @@ def test_run_ids_with_path_characters(ledger):
 
 def test_no_ledger_yet(ledger):
     assert ledger.state().count() == 0
+
+
+def test_a_folded_run_has_the_same_state_in_one_file(spark, tmp_path):
+    ledger = RunLedger(spark, str(tmp_path / "ledger"))
+    spine = spark.createDataFrame([("2025-07-23",), ("2025-07-24",), ("2025-07-25",)], "execution_date string")
+    ledger.open("r1", spine)
+    ledger.open("other", spine)
+    ledger.record("r1", [(TRACKED_TABLES[0], "2025-07-23", "fail", "lost", 5), (TRACKED_TABLES[0], "2025-07-24", "success", None, 7)])
+    ledger.record("r1", [(TRACKED_TABLES[0], "2025-07-23", "success", None, None)])
+    ledger.update_status("r1", TRACKED_TABLES[1], "skipped", "none")
+    before = sorted(map(tuple, ledger.state("r1").collect()), key=str)
+    files = lambda run: [f for f in ledger.table.files.files(f"run_id={run}") if f.endswith(".parquet")]
+    assert len(files("r1")) > 3
+    others = files("other")
+    ledger.fold("r1")
+    assert sorted(map(tuple, ledger.state("r1").collect()), key=str) == before and len(before) == 15
+    assert len(files("r1")) == 1 and files("other") == others
+    ledger.fold("r1")
+    ledger.update_all_running("r1", "success")
+    after = {(r.table_name, r.execution_date): (r.status, r.error_message, r.records_processed) for r in ledger.state("r1").collect()}
+    assert after[TRACKED_TABLES[0], "2025-07-23"] == ("success", "lost", 5) and after[TRACKED_TABLES[1], "2025-07-25"] == ("skipped", "none", None)
+    assert {x[0] for x in after.values()} == {"success", "skipped"}
