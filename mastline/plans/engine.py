@@ -55,6 +55,7 @@ class Engine:
     tz: str = "UTC"
     strict: bool = False
     rows_per_file: int = 4_000_000
+    sorted_rows: int = 1_000_000  # of a run, up to which sorting is the cheaper way to find first copies
     dq_json: str | None = None
     tables: dict[str, DatedTable] = field(init=False)
     ledger: RunLedger = field(init=False)
@@ -175,21 +176,25 @@ class Engine:
     def process_silver(self, dates: str | list[str], run_id: str, rows: dict[str, int] | None = None) -> dict[str, int]:
         """Bronze to silver; returns clean rows per date.  ``rows`` has bronze rows per date, if known.
 
-        Rows move once, into the files of their date: which ones repeat an earlier key is found
-        out beforehand from keys and places alone.
+        Of more than ``sorted_rows`` rows each moves once, into the files of its date: which ones
+        repeat an earlier key is found out beforehand from keys and places alone.
         """
         listed = _listed(dates)
         bronze = self.tables[BRONZE]
         self._size_shuffles(bronze, listed)
-        largest = max((rows or bronze.counts(listed)).values(), default=0)
+        rows = rows or bronze.counts(listed)
+        largest = max(rows.values(), default=0)
         # Readings of a tower share a file, so gold combines them before its shuffle.
         files = -(-largest // self.rows_per_file)
         spread = F.pmod(F.xxhash64("tower_id"), F.lit(files)) if files > 1 else None
         raw = bronze.read(dates=listed)
+        sorted_ = clean.clean_readings(raw, run_id, strict=self.strict)
+        if sum(rows.values()) <= self.sorted_rows:
+            return self.tables[SILVER].replace(sorted_, listed, spread=spread)
         ranks = dedup.part_ranks(raw, "_execution_date").persist()
         files_read = ranks.agg(F.count("*").alias("n"), F.max("part").alias("last")).first()
         if files_read.n > dedup.REPEATED_KEYS:  # too many to send to all tasks: order by sorting
-            return self.tables[SILVER].replace(clean.clean_readings(raw, run_id, strict=self.strict), listed, spread=spread)
+            return self.tables[SILVER].replace(sorted_, listed, spread=spread)
         keyed = clean.with_position(clean.keyed_readings(raw, self.strict), ranks if files_read.last else None)
         repeated = clean.repeats(keyed).persist(StorageLevel.DISK_ONLY)
         try:
@@ -219,16 +224,14 @@ class Engine:
         self._size_shuffles(self.tables[SILVER], listed)
         base = rollups.base_states(self.read_silver(listed)).persist(StorageLevel.DISK_ONLY)
         try:
+            # Side by side: all three wait for, and then share, the one shuffle of the scan.
             built = rollups.from_base(base)
-            # The first write fills the store, so that the others, side by side, find it full.
-            first = built.pop(HOURLY)
-            counts = {HOURLY: self.tables[HOURLY].replace(first, listed, sort=rollups.ORDERS[HOURLY])}
             with ThreadPoolExecutor(len(built)) as pool:
                 writes = {
                     name: pool.submit(self.tables[name].replace, frame, listed, sort=rollups.ORDERS[name])
                     for name, frame in built.items()
                 }
-            return counts | {name: write.result() for name, write in writes.items()}
+            return {name: write.result() for name, write in writes.items()}
         finally:
             base.unpersist()
 
@@ -358,8 +361,7 @@ class Engine:
         self._stage(run_id, [SILVER], dates, lambda: self._checked(dates, run_id, heads))
         self._stage(run_id, [SILVER], dates, lambda: {SILVER: self.process_silver(dates, run_id, rows[BRONZE])})
         self._stage(run_id, [FACT, HOURLY, DAILY], dates, lambda: self.process_gold(dates, run_id))
-        self.ledger.update_all_running(run_id, SUCCESS)
-        self.ledger.fold(run_id)
+        self.ledger.close(run_id, SUCCESS)
         return self.ledger.state(run_id)
 
     def _stage(self, run_id: str, names: list[str], dates: list[str], work) -> dict[str, dict[str, int]]:

@@ -84,7 +84,13 @@ class RunLedger:
         error = F.lit(error_message).cast("string")
         self.table.append(fold.closing_events(self.state(run_id), status, *self._tick(), error=error))
 
-    def fold(self, run_id: str) -> None:
-        """Replace the events of a run, one or more files a batch, by a single file that gives the same state."""
+    def close(self, run_id: str, status: str) -> None:
+        """Close every key of a run that is still running, and fold the run's events."""
         events = self.table.read({"run_id": run_id})
+        closing = fold.closing_events(fold.current_state(events), status, *self._tick())
+        self.fold(run_id, events.unionByName(closing))
+
+    def fold(self, run_id: str, events: DataFrame | None = None) -> None:
+        """Replace the events of a run, one or more files a batch, by a single file that gives the same state."""
+        events = self.table.read({"run_id": run_id}) if events is None else events
         self.table.replace(fold.folded_events(events).coalesce(1), [run_id], rebalance=False, counted=False)

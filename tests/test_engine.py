@@ -279,3 +279,26 @@ def test_received_volume_and_sketches_of_a_lake(engine, drop):
     exact = {r.region: r.tower_count for r in engine.read_gold("gold.network_metrics_daily").collect()}
     about = {r.region: r.tower_count for r in engine.approximate_towers(DAY, ["region"]).collect()}
     assert about == exact
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_both_ways_to_find_first_copies_agree(spark, tmp_path, parts):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rows = [f"{i % 7},{'N' if i % 3 else 'S'},{MIDNIGHT + i % 5},-75.5,{i}" for i in range(300)]
+    if parts:
+        (folder / "network_metrics_20250723.csv").mkdir()
+        for k in range(3):
+            text = "\n".join([",".join(REQUIRED_COLUMNS), *rows[k * 100 : k * 100 + 100], ""])
+            (folder / "network_metrics_20250723.csv" / f"part-{k}.csv").write_text(text)
+    else:
+        write_csv(folder, DAY, "\n".join([",".join(REQUIRED_COLUMNS), *rows, ""]))
+    got = []
+    for most in (1_000_000, 0):
+        engine = Engine(spark, str(folder), str(tmp_path / f"lake{most}"), sorted_rows=most)
+        engine.run("r", DAY)
+        got.append(sorted((r.tower_id, r.region, r.timestamp, r.data_volume_mb) for r in engine.read_silver(DAY).collect()))
+    first = {}
+    for i in range(300):
+        first.setdefault((i % 7, "N" if i % 3 else "S", MIDNIGHT + i % 5), float(i))
+    assert got[0] == got[1] == sorted((*k, v) for k, v in first.items())
