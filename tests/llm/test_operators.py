@@ -345,6 +345,83 @@ def test_secrets(docs):
     assert got[4] == (0, 0, 0, "", 0) and got[5][4] == 1 and got[6] == (0, 0, 0, "", 0)
 
 
+def test_secret_model_tells_random_strings_from_ordinary_ones(docs):
+    texts = [(i, prose(80, 100 + i)) for i in range(60)]
+    model = secrets.train(docs(texts))
+    rng = random.Random(99)
+    english = "order customer invoice payment account handler service controller factory cache client server response database".split()
+    word = lambda: rng.choice(english + VOCAB)
+    ordinary = {
+        "snake": lambda: f"{word()}_{word()}_{word()}_{rng.randrange(1000)}",
+        "camel": lambda: "".join(word().capitalize() for _ in range(4)) + str(rng.randrange(100)),
+        "path": lambda: f"/{word()}/{word()}/{word()}/v{rng.randrange(9)}/{word()}",
+        "uuid": lambda: "-".join(f"{rng.getrandbits(4 * k):0{k}x}" for k in (8, 4, 4, 4, 12)),
+        "date": lambda: f"{word()}-20{rng.randrange(10, 40)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}T10-{rng.randrange(60):02}-00Z",
+    }
+    for kind, make in ordinary.items():
+        made = [x for x in (make() for _ in range(800)) if len(x) >= 16]
+        assert np.mean([model.looks_random(x) for x in made]) <= 0.01, kind
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "".join(map(chr, range(48, 58))) + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"):
+        drawn = ["".join(rng.choices(alphabet, k=rng.randrange(16, 40))) for _ in range(500)]
+        assert np.mean([model.looks_random(x) for x in drawn]) >= 0.95, alphabet
+    assert secrets.train(docs(texts).limit(0)).looks_random("q9Zx7Lk2Vb8Nn4Rt6Ws1Yp3D")
+
+
+def test_base_spans_are_those_of_the_patterns():
+    """Against the contract, character by character."""
+    rng = random.Random(7)
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def plain(text):
+        out, n = [], len(text)
+        at = 0
+        while at < n:  # assign: leftmost, longest value, spaces and quotes as far as they go
+            hit = next((w for w in ("password", "passwd", "secret", "token", "api_key", "apikey") if text[at : at + len(w)].lower() == w), None)
+            end = None
+            if hit:
+                k = at + len(hit)
+                for quote in ([1, 0] if k < n and text[k] in "\"'" else [0]):
+                    j = k + quote
+                    while j < n and text[j] == " ":
+                        j += 1
+                    if j < n and text[j] in ":=":
+                        j += 1
+                        while j < n and text[j] == " ":
+                            j += 1
+                        if j < n and text[j] in "\"'":
+                            j += 1
+                        e = j
+                        while e < n and text[e] in value:
+                            e += 1
+                        if e > j:
+                            end = (e, e - j)
+                            break
+            if end:
+                if end[1] >= 8:
+                    out.append((at, end[0], "assign"))
+                at = end[0]
+            else:
+                at += 1
+        for kind, first, chars, least in (("access", "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16), ("hex", "", "0123456789abcdef", 32)):
+            at = 0
+            while at < n:
+                e = at + len(first)
+                while e < n and text[e] in chars:
+                    e += 1
+                if text.startswith(first, at) and e > at + len(first):
+                    if e - at >= least:
+                        out.append((at, e, kind))
+                    at = e
+                else:
+                    at += 1
+        return sorted(out, key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+
+    pieces = ["password", "Passwd", "SECRET", "token", "api_key", "ApiKey", "apikey", "AKIA", "AKIA" + "Z9" * 7, "=", ":", " ", "  ", '"', "'", "abc", "0123456789abcdef", "deadbeef" * 4, "x+/_.=-", "\n", "é", "漢", "ſecret", "toKen"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 12)))
+        assert secrets.base_spans(text) == plain(text), repr(text)
+
+
 def test_kinds_of_secrets_may_overlap(docs):
     text = "0123456789abcdef" * 2 + "api_key=abcdefgh12"
     (row,) = secrets.scan(docs([(1, text)])).collect()
