@@ -19,6 +19,9 @@ from mastline.llm.common import Rolling, Words, byte_table, keyed, mapped, slice
 
 Q = 8
 EDIT_RATE = 0.08  # edits allowed per character of a passage
+PASSAGE, STEP = 400, 200  # bytes of a passage of a longer item, and from one to the next
+FREQUENT = 64  # passages that may share a q-gram before they give it up where they can
+LEAST = 24  # bytes of an item for whose sake a document is dropped
 BLOCK_BYTES = 16 << 20  # passages searched for at once; a larger benchmark takes several passes over the texts
 _MAP_BITS = 20
 # Fixed value: the ASCII characters that count; all others part words.
@@ -37,35 +40,67 @@ def edit_budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
     return max(0, min(int(m * rate), (m - q) // q))
 
 
+def cut(text: bytes, size: int = PASSAGE, step: int = STEP) -> list[bytes]:
+    """The passages of a normalised item: itself, or overlapping stretches of ``size`` bytes that cover it."""
+    if len(text) <= size + step:
+        return [text]
+    starts = [*range(0, len(text) - size, step), len(text) - size]
+    return [text[a : a + size] for a in starts]
+
+
 class Passages:
     """A block of normalised passages with their q-grams in a sorted hash array."""
 
-    def __init__(self, ids: list, texts: list[bytes], q: int = Q, rate: float = EDIT_RATE):
+    def __init__(self, items: list[bytes], q: int = Q, rate: float = EDIT_RATE):
         self.q = q
-        self.ids, self.texts = ids, texts
-        self.size = np.array([len(t) for t in texts], np.int64)
-        self.budget = np.array([edit_budget(len(t), q, rate) for t in texts], np.int64)
-        self.need = np.maximum(1, self.size + 1 - q - q * self.budget)
-        self.short = [i for i, t in enumerate(texts) if 0 < len(t) < q]
-        hashes, item, at = [], [], []
-        for i, t in enumerate(texts):
-            n = len(t) - q + 1
-            if n > 0:
-                s = np.arange(n)
+        self.texts, owner = [], []
+        for k, item in enumerate(items):
+            for part in cut(item):
+                self.texts.append(part)
+                owner.append(k)
+        self.owner = np.array(owner, np.int64)
+        self.size = np.array([len(t) for t in self.texts], np.int64)
+        self.budget = np.array([edit_budget(len(t), q, rate) for t in self.texts], np.int64)
+        grams = np.maximum(0, self.size + 1 - q)
+        self.need = np.maximum(1, grams - q * self.budget)
+        self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < q]
+        hashes, item, at = [np.zeros(0, np.uint64)], [], []
+        for i, t in enumerate(self.texts):
+            if grams[i] > 0:
+                s = np.arange(grams[i])
                 hashes.append(Rolling(np.frombuffer(t, np.uint8))(s, s + q))
-                item.append(np.full(n, i))
+                item.append(np.full(grams[i], i))
                 at.append(s)
-        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        h = np.concatenate(hashes)
+        item, at = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (item, at))
+        keep = self._kept(h, item, grams)
+        h, item, at = h[keep], item[keep], at[keep]
         order = np.argsort(h, kind="stable")
         self.gram, first = np.unique(h[order], return_index=True)
         self.first = np.append(first, len(h))
-        self.item = np.concatenate([*item, np.zeros(0, np.int64)]).astype(np.int64)[order]
-        self.at = np.concatenate([*at, np.zeros(0, np.int64)]).astype(np.int64)[order]
+        self.item, self.at = item[order], at[order]
         self.map = np.zeros(1 << _MAP_BITS, bool)
         self.map[self.gram >> np.uint64(64 - _MAP_BITS)] = True
 
+    def _kept(self, h: np.ndarray, item: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """Which q-grams are kept: those that few passages share, and the rarest others as far as a passage needs them.
+
+        Of n q-grams a match shares ``need`` or more.  If n - r are given up it shares need - (n - r) of the
+        others or more, which is one at least as long as r > n - need.
+        """
+        _, back, often = np.unique(h, return_inverse=True, return_counts=True)
+        often = often[back] if len(h) else np.zeros(0, np.int64)
+        order = np.lexsort((often, item))
+        start = np.cumsum(grams) - grams
+        rank = np.empty(len(h), np.int64)
+        rank[order] = np.arange(len(h)) - start[item[order]]
+        keep = (often <= FREQUENT) | (rank <= (grams - self.need)[item])
+        given_up = np.bincount(item[~keep], minlength=len(grams))
+        self.need = np.maximum(1, self.need - given_up)
+        return keep
+
     def search(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(text, passage, start, end, edits) of the best match of each passage in each text of a slice."""
+        """(text, item, start, end, edits) of the best match of each item, or a passage of it, in each text of a slice."""
         words = Words(data, bounds, _TABLE)
         text, q, found = words.text, self.q, []
         begin = words.start[words.first]  # of each text in the joined words
@@ -84,8 +119,9 @@ class Passages:
             found += [(d, i, p, p + len(self.texts[i]), 0) for i in self.short if (p := (b" " + t + b" ").find(b" " + self.texts[i] + b" ")) >= 0]
         best: dict = {}
         for d, i, a, b, e in found:
-            best[d, i] = min(best.get((d, i), (e, a, b)), (e, a, b))
-        return [(d, i, a, b, e) for (d, i), (e, a, b) in sorted(best.items())]
+            k = int(self.owner[i])
+            best[d, k] = min(best.get((d, k), (e, a, b)), (e, a, b))
+        return [(d, k, a, b, e) for (d, k), (e, a, b) in sorted(best.items())]
 
     def _regions(self, s, g, doc, text, begin):
         """Bands of diagonals with enough shared q-grams, aligned."""
@@ -106,99 +142,115 @@ class Passages:
         count = np.diff(np.append(head, key.shape[1]))
         out, last = [], None
         for d, i, b in key[:, head[count >= self.need[key[1, head]]]].T.tolist():
-            e, m = int(self.budget[i]), int(self.size[i])
+            e = int(self.budget[i])
             low = b * (e + 1) - (1 << 40)
-            if last and last[:2] == (d, i) and low <= last[3] + 2 * e + m:
-                last = (d, i, last[2], max(last[3], low + 2 * e + 2))
+            if last and last[:2] == (d, i) and low <= last[3]:  # neighbours overlap
+                last = (d, i, last[2], low + 2 * e + 1)
                 out[-1] = last
             else:
-                last = (d, i, low, low + 2 * e + 2)
+                last = (d, i, low, low + 2 * e + 1)
                 out.append(last)
         found = []
         for d, i, low, high in out:
             e, m = int(self.budget[i]), int(self.size[i])
             base, end = int(begin[d]), int(begin[d + 1]) - 1
             a, b = max(base, low - e), min(end, high + m + e)
-            hit = align(self.texts[i], text[a:b].tobytes(), e)
+            # An alignment that keeps to its budget strays e diagonals from the q-grams it shares.
+            hit = align(self.texts[i], text[a:b].tobytes(), e, low - e - a, high + e - a)
             if hit:
                 found.append((d, i, a - base + hit[0], a - base + hit[1], hit[2]))
         return found
 
 
-def align(passage: bytes, region: bytes, budget: int) -> tuple[int, int, int] | None:
+def align(passage: bytes, region: bytes, budget: int, low: int | None = None, high: int | None = None) -> tuple[int, int, int] | None:
     """(start, end, edits) of the stretch of ``region`` nearest to the passage, if within the budget.
 
-    Edit distance with free ends in the region, one row of the region's width per
-    character of the passage; the region is as narrow as its band.
+    Edit distance with free ends in the region, over the cells whose diagonal (place in the region less
+    place in the passage) is ``low`` to ``high``; without them over all.
     """
     at = region.find(passage)
     if at >= 0:
         return at, at + len(passage), 0
     p, t = np.frombuffer(passage, np.uint8), np.frombuffer(region, np.uint8)
-    n = len(t)
-    step = np.arange(n + 1)
-    row = np.zeros(n + 1, np.int64)
+    n, m = len(t), len(p)
+    low, high = (-m if low is None else low), (n if high is None else high)
+    if high < low:
+        return None
     # Each cell carries its start: cost * 2^32 + start, so that ties take the earliest.
     one = 1 << 32
-    row = row * one + step
-    gain = step * one
+    far = np.int64(1) << 60
+    diagonal = np.arange(low, high + 1)
+    gain = np.arange(len(diagonal)) * one
+    # Outside of the region is a byte that no passage has.
+    padded = np.concatenate([np.full(max(0, -low), -1, np.int16), t.astype(np.int16), np.full(max(0, high + m - n) + 1, -1, np.int16)])
+    shift = max(0, -low)
+    row = np.where((diagonal >= 0) & (diagonal <= n), diagonal, far)
     for i, c in enumerate(p):
-        new = np.empty_like(row)
-        new[0] = (i + 1) * one
-        new[1:] = np.minimum(row[:-1] + (t != c) * one, row[1:] + one)
+        j = diagonal + i  # place in the region of the byte that is compared
+        here = padded[low + i + shift : high + 1 + i + shift]
+        new = np.where((j >= 0) & (j < n), row + (here != c) * one, far)
+        new[:-1] = np.minimum(new[:-1], row[1:] + one)
+        new[-1] = min(new[-1], far)
+        new = np.where((j + 1 >= 0) & (j + 1 <= n), new, far)
         row = np.minimum.accumulate(new - gain) + gain
-        if (row >> 32).min() > budget:
+        row = np.where((j + 1 >= 0) & (j + 1 <= n), row, far)
+        if (row.min() >> 32) > budget:
             return None
     best = int(np.argmin(row >> 32))
     cost, start = int(row[best] >> 32), int(row[best] & (one - 1))
-    return (start, best, cost) if cost <= budget else None
-
-
-def _blocks(benchmark: DataFrame) -> tuple[DataFrame, int]:
-    """The benchmark with a block number per passage, and the number of blocks by its bytes."""
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(total // BLOCK_BYTES) + 1
-    return benchmark.withColumn("__block", F.pmod(F.xxhash64("text"), F.lit(n))), n
+    return (start, int(diagonal[best]) + m, cost) if cost <= budget else None
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
-    """(doc_id, item_id, start, end, edits): passages of ``benchmark`` (item_id, text) found in ``docs`` (doc_id, text).
+    """(doc_id, item_id, start, end, edits): items of ``benchmark`` (item_id, text) found in ``docs`` (doc_id, text).
 
-    One row per document and passage, with the best match; offsets are bytes of the
-    normalised text.  Passages are searched for in blocks of bounded size, each against
-    all texts.  Passages shorter than q must occur as whole words, exactly.  Null or empty
-    passages match nothing, null or empty texts hold nothing; equal passages each match.
+    One row per document and item, with the best match of the item or, if it is longer than PASSAGE + STEP, of
+    a passage of it; offsets are bytes of the normalised text.  Items are searched for in
+    blocks of bounded size, each against all texts.  Items shorter than q must occur as whole words,
+    exactly.  Null or empty items match nothing, null or empty texts hold nothing; equal items each
+    match, rows that repeat a doc_id or a text each have theirs.  Texts are read whole, other
+    columns, whatever their names, not at all; empty tables give no rows.
     """
+    found = _found(docs, benchmark, q, rate)
+    named = benchmark.select("item_id", F.xxhash64("text").alias("__item")).where(F.col("text").isNotNull())
+    return found.join(named, "__item").select("doc_id", "item_id", "start", "end", "edits")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, q: int, rate: float, least: int = 0) -> DataFrame:
+    """``leaks`` by the digest ``__item`` of an item's text; items of fewer than ``least`` normalised bytes are left out."""
     spark = docs.sparkSession
-    kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    numbered, n = _blocks(benchmark)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = benchmark.select("text").where("text is not null").distinct()
+    n = int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES) + 1
+    texts = texts.withColumn("item", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(n)))
     parts = []
     for k in range(n):
-        rows = numbered.where(F.col("__block") == k).select("item_id", "text").collect()  # BLOCK_BYTES or so
-        block = spark.sparkContext.broadcast([(r[0], normalised(r[1])) for r in rows])
+        rows = texts.where(F.col("block") == k).select("item", "text").orderBy("item").collect()  # BLOCK_BYTES or so
+        held = [(r[0], t) for r in rows if len(t := normalised(r[1])) >= max(1, least)]
+        block = spark.sparkContext.broadcast(held)
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            passages = Passages([x for x, _ in block.value], [t for _, t in block.value], q, rate)
-            ids = pa.array(passages.ids, type=_arrow(kinds[1]))
+            passages = Passages([t for _, t in block.value], q, rate)
+            ids = pa.array([x for x, _ in block.value], pa.int64())
             for b in batches:
                 for first, _, data, bounds in sliced(*utf8(b.column(1))):
                     if found := passages.search(data, bounds):
                         d, i, s, e, cost = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
-                        yield pa.RecordBatch.from_arrays([b.column(0).slice(first).take(d), ids.take(i), s, e, cost], ["doc_id", "item_id", "start", "end", "edits"])
+                        yield pa.RecordBatch.from_arrays([b.column(0).slice(first).take(d), ids.take(i), s, e, cost], ["doc_id", "__item", "start", "end", "edits"])
 
-        parts.append(mapped(docs.select("doc_id", "text"), run, f"doc_id {kinds[0]}, item_id {kinds[1]}, start long, end long, edits long"))
+        parts.append(mapped(docs.select("doc_id", "text"), run, f"doc_id {kind}, __item long, start long, end long, edits long"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
     return out
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE, least: int = LEAST) -> DataFrame:
+    """``docs`` less the rows whose text holds an item of the benchmark, or a passage of a long one; columns as they are.
 
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` less the rows whose text holds a passage of the benchmark; columns as they are."""
-    gone = written(leaks(keyed(docs), benchmark, **options).select("doc_id.*").distinct(), "leaks")
+    Items of fewer than ``least`` normalised bytes (a bare "yes") drop nothing.  Each row is judged by its own
+    text: others with its doc_id, or without one, stay.  Null and empty texts stay, and so do rows
+    that repeat, all or none of them; an empty table stays empty.
+    """
+    gone = written(_found(keyed(docs), benchmark, q, rate, least).select("doc_id.*").distinct(), "leaks")
     return without(docs, gone)
-

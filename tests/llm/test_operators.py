@@ -270,10 +270,68 @@ def test_leaks(spark, docs):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(docs(rows), bench).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 10)} and got[1, 1] == 0 and 0 < got[2, 2] <= 3
-    assert {r.doc_id for r in decontaminate.drop_contaminated(docs(rows), bench).collect()} == {0, 4, 5}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs(rows), bench).collect()} == {0, 3, 4, 5}
     assert decontaminate.leaks(docs(rows), bench.limit(0)).count() == 0
 
 
+def test_parts_of_long_items_and_copies_are_found(spark, docs):
+    long = prose(400, 77)
+    words = long.split()
+    items = [(1, long), (2, long), (3, prose(30, 78)), (4, "yes"), (5, "why not")]
+    rows = [(0, f"{prose(30, 1)} {' '.join(words[100:240])} {prose(30, 2)}"), (1, long), (2, prose(90, 3)), (3, "yes that is why not")]
+    rows += [(4, f"{prose(10, 4)} {' '.join(words[50:70])} {prose(20, 5)}")]  # shorter than a passage
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(docs(rows), bench).collect()}
+    assert got == {(0, 1): 0, (0, 2): 0, (1, 1): 0, (1, 2): 0, (3, 4): 0, (3, 5): 0}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs(rows), bench).collect()} == {2, 3, 4}
+    copies = spark.createDataFrame([(i, long) for i in range(10_000)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs(rows), copies).collect()} == {2, 3, 4}
+
+
+def test_leaks_against_edit_distance_with_shared_prompts(spark, docs, monkeypatch):
+    """Every item within its budget by the full table is found, and nothing else, whether or not q-grams are frequent."""
+    rng, prompt = random.Random(15), "answer the following question in one short sentence"
+    items = [f"{prompt} {prose(rng.randrange(4, 25), 700 + k)}" for k in range(90)]
+    items += [items[0] + " too", items[0][:-3] + "xyz"]  # nearly equal items
+    rows = []
+    for i in range(60):
+        t = list(decontaminate.normalised(rng.choice(items)).decode())
+        for _ in range(rng.randrange(0, 14)):
+            k = rng.randrange(len(t))
+            t[k : k + rng.randrange(2)] = rng.choice(["", "z", "q ", " "])
+        rows.append((i, f"{prose(6, i)} {''.join(t)} {prose(6, 50 + i)}"))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {}
+    for i, text in rows:
+        t = decontaminate.normalised(text)
+        for k, item in enumerate(items):
+            p = decontaminate.normalised(item)
+            e = decontaminate.edit_budget(len(p))
+            if (hit := decontaminate.align(p, t, e)) is not None:
+                want[i, k] = hit[2]
+    for frequent in (10**9, 64, 2):
+        monkeypatch.setattr(decontaminate, "FREQUENT", frequent)
+        got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(docs(rows), bench).collect()}
+        assert got == want and 20 < len(want)
+
+
+def test_banded_alignment_is_the_full_one_within_its_budget():
+    rng = random.Random(16)
+    for _ in range(400):
+        p = bytes(rng.choice(b"abcd") for _ in range(rng.randrange(8, 40)))
+        budget, place = len(p) // 8, rng.randrange(20)
+        t = list(p)
+        for _ in range(rng.randrange(budget + 1)):
+            k = rng.randrange(len(t))
+            t[k : k + rng.randrange(2)] = [rng.choice(b"abcd")] * rng.randrange(2)
+        text = bytes(rng.choice(b"xyz") for _ in range(place)) + bytes(t) + bytes(rng.choice(b"xyz") for _ in range(rng.randrange(20)))
+        full = decontaminate.align(p, text, budget)
+        band = decontaminate.align(p, text, budget, place - budget, place + budget)
+        assert band and full[2] <= band[2] <= budget
+        if place - budget <= min(full[0], full[1] - len(p)) and max(full[0], full[1] - len(p)) <= place + budget:
+            assert full[2] == band[2]
+
+
 def test_alignment_is_edit_distance():
     rng = random.Random(6)
 
@@ -695,7 +753,45 @@ def test_licenses(spark, docs):
 def test_a_row_without_id_declares_nothing(docs):
     rows = [(None, "Released under the MIT License."), (1, "plain text"), (20_001, "more text"), (2, None)]
     got = sorted((r.doc_id or 0, r.path, r.license, r.origin) for r in licenses.license_report(docs(rows)).collect())
-    assert got == [(0, None, "MIT", "own"), (1, "s0/0/0/1", None, "none"), (2, "s0/0/0/2", None, "none"), (20_001, "s0/2/20/20001", None, "none")]
+    assert got == [(0, None, "MIT", "own"), (1, "s0/0/0/1", None, "none"), (2, "s0/0/0/2", None, "none"), (20_001, "s0/20/200/20001", None, "none")]
+
+
+def test_licences_are_inherited_over_several_levels(docs):
+    rows = [(100, "Released under the MIT License."), (1010, "SPDX-License-Identifier: Apache-2.0"), (1, "x"), (1011, "y"), (1200, "z"), (5, None), (2001, "no"), (2002, "Licensed under CC BY-NC 4.0.")]
+    got = by_id(licenses.license_report(docs(rows)), "path", "license", "origin", "from_id")
+    assert got == {
+        100: ("s0/100", "MIT", "own", None), 1010: ("s0/1/1010", "Apache-2.0", "own", None), 1: ("s0/0/0/1", "MIT", "inherited", 100),
+        1011: ("s0/1/10/1011", "Apache-2.0", "inherited", 1010), 1200: ("s0/1200", "MIT", "inherited", 100), 5: ("s0/0/0/5", "MIT", "inherited", 100),
+        2001: ("s0/2/20/2001", "CC-BY-NC-4.0", "inherited", 2002), 2002: ("s0/2/20/2002", "CC-BY-NC-4.0", "own", None),
+    }
+
+
+def test_licence_files_headers_and_lines_against_every_window(docs):
+    rng = random.Random(17)
+    rows, want = [], {}
+    for name, forms in licenses.TEMPLATES.items():
+        for k, form in enumerate(forms):
+            i = len(rows)
+            text = form if k % 2 else form.replace("\n", " ").upper()
+            if len(form.split()) > 30:  # a holder's name, a missing word
+                w = form.split()
+                text = " ".join(["Copyright (c) 2020 Some Body.", *w[:9], *w[10:]])
+            rows += [(i, f"{prose(rng.randrange(60), i)} {text} {prose(rng.randrange(60), i + 500)}".strip()), (i + 1, f"{prose(8, i)}\n{text}")]
+            want |= {i: name, i + 1: name}
+    plain = ["", None, prose(200, 3), "a license to speak freely in many words here", "no file is released under the MIT License here", "it is not licensed under the Apache License, Version 2.0", "copyright law and the public domain in old times", "SPDX-License-Identifier: Unknown-9.9", "permission to land was given"]
+    rows += [(900 + k, t) for k, t in enumerate(plain)]
+    rows += [(950, "x\n# SPDX-License-Identifier: (GPL-3.0-or-later OR MIT)")]
+    want[950] = "GPL-3.0"
+    found = licenses.statements(docs(rows).withColumn("path", F.lit("a/b")))
+    got = {r.doc_id: (r.license, r.cosine) for r in found.collect()}
+    assert {i: x[0] for i, x in got.items() if x[0]} == want
+    df, n = licenses.frequencies(docs(rows), frozenset(w for forms in licenses.TEMPLATES.values() for t in forms for w in licenses.terms(t)))
+    ready = licenses.Templates(licenses.TEMPLATES, df, n)
+    for i, text in rows:  # the best of all windows of all lengths is no better
+        if i in want and i != 950:
+            words = licenses.terms(text)
+            every = max(round(ready.cosine(words[p : p + size], k), 9) for k, size in enumerate(ready.size) for p in range(len(words)))
+            assert got[i][1] <= min(1.0, every) and got[i][1] >= 0.93 * min(1.0, every)
 
 
 def _calls(spark):
