@@ -316,6 +316,11 @@ def held_out() -> F.Column:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, rejected), learned from rows that are not held out."""
+    """(doc_id, held_out, lang_pred, score, rejected) of every row, learned from rows that are not held out.
+
+    Each row is judged by its own whole text, rows that repeat a doc_id or a text too.  Texts without
+    a letter, empty or null, are ``und``, and so is all without a row to learn from.  Equal
+    entropies go to the first language.  Other columns are not read; an empty table gives no rows.
+    """
     model = fit(docs.where(~held_out()))
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")

@@ -107,12 +107,17 @@ def mix(docs: DataFrame, share: float = 1.0, weights: tuple = WEIGHTS, limit: in
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
+    """(doc_id, size, source_size, target, taken) of every row; null and empty texts have size 0."""
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, with a column ``copies``; rows without words go."""
+    """The documents that the mix takes, with a column ``copies`` (in place of one of that name); rows without words go.
+
+    Ties cannot arise: a document is taken by the hash of its doc_id.  Rows that repeat a doc_id and source
+    are taken alike; null is a source and a doc_id like any other.  Texts are counted whole; an
+    empty table stays empty.
+    """
     taken = mix(docs, **options).where("taken > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).distinct()
     taken = written(taken, "taken")
     ids = sized(taken)

@@ -264,5 +264,5 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 
 def passages_report(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256)."""
+    """(doc_id, n_words, n_removed, kept_sha256) of every row, as ``dedup_passages`` says."""
     return dedup_passages(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

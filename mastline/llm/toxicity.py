@@ -208,9 +208,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
     """A model from at most ``rows`` labelled rows (doc_id, toxic) and the texts and languages of ``docs``.
 
     Thresholds come from all labelled rows that were not fitted, however many there are.
-    Rows are taken in the order of a hash of doc_id.  Texts come to the driver as word
-    hashes: at most rows * SAMPLE_WORDS numbers, in practice far fewer.  Null labels do not
-    count.  None if there are no labelled texts or only one label.
+    Rows are taken in the order of a hash of doc_id; of texts that share a doc_id and label the first
+    in order is fitted.  Only texts of up to 8 * SAMPLE_WORDS characters are, and they come to
+    the driver as word hashes: at most rows * 4 * SAMPLE_WORDS numbers, in practice far fewer.
+    Null labels do not count.  None if there are no labelled texts or only one label.
     """
     chosen = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).distinct()
     every = chosen
@@ -226,7 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
 
     lang = F.coalesce("lang", F.lit("")) if "lang" in docs.columns else F.lit("")
     sample = docs.join(chosen, docs["doc_id"] == chosen["__id"]).select(F.col("doc_id").cast("string"), "text", "__toxic", lang.alias("lang"))
-    sample = mapped(sample.where(F.length("text") <= 8 * SAMPLE_WORDS), run, "id string, h binary, toxic int, lang string")
+    sample = sample.where(F.length("text") <= 8 * SAMPLE_WORDS).groupBy("doc_id", "__toxic").agg(F.min(F.struct("text", "lang")).alias("x"))
+    sample = mapped(sample.select("doc_id", "x.text", "__toxic", "x.lang"), run, "id string, h binary, toxic int, lang string")
     got = sample.toArrow().sort_by([("id", "ascending"), ("toxic", "ascending"), ("h", "ascending")]).to_pydict()
     toxic = np.array(got["toxic"], np.float64)
     if not 0 < toxic.sum() < len(toxic):
@@ -263,13 +265,23 @@ def held_out() -> F.Column:
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) with labels learned from rows that are not held out."""
+    """(doc_id, held_out, score, predicted) of every row, with labels learned from rows that are not held out.
+
+    Each row is scored by its own whole text, rows that repeat a doc_id or a text too; rows without
+    doc_id are not held out.  Null and empty texts score as one without words.  Of other columns
+    only lang is read, for the thresholds.  Without labels all score 0; an empty table gives no rows.
+    """
     model = fit(docs, labels.where(~held_out()))
     return score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose text the classifier rejects; columns as they are."""
+    """``docs`` less the rows whose text the classifier rejects; columns, whatever their names, as they are.
+
+    A rejected row goes by doc_id (null is a value) and text: others with its doc_id stay, repeats
+    of it go with it.  Null and empty texts stay, texts are read whole, and without labels
+    everything stays.
+    """
     model = fit(docs, labels.where(~held_out()))
     gone = written(score(keyed(docs), model).where("predicted = 1").select("doc_id.*"), "toxic")
     return without(docs, gone)
