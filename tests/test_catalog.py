@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from mastline.plans import catalog
 from mastline.plans.catalog import CATALOG
 
 FOLDER = os.environ.get("MASTLINE_TEST_TABLES", "/root/testdata/sf0.001")
@@ -40,3 +41,11 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_places_without_one_task_for_all_rows(spark):
+    placed = catalog._with_place(spark, spark.range(0, 1000, 1, 7).where("id < 300 or id > 500").withColumnRenamed("id", "x"))
+    rows = [(r.place, r.x) for r in placed.orderBy("x").collect()]
+    assert rows == list(enumerate([x for x in range(1000) if x < 300 or x > 500], 1))
+    assert "row_number" not in placed._jdf.queryExecution().executedPlan().toString()
+    assert catalog._with_place(spark, spark.range(0)).count() == 0

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from mastline import Engine
 from mastline.constants import BRONZE, DAILY, DQ_LOG, FACT, HOURLY, LEDGER, REQUIRED_COLUMNS, SILVER, TRACKED_TABLES
+from mastline.operators import rollups
 from mastline.operators.checks import QualityError
 from mastline.operators.kinds import SchemaEvolutionError
 from tests.conftest import DAY, MIDNIGHT, write_csv
@@ -51,6 +52,21 @@ def test_daily_run(engine, drop):
     assert silver.where(f"tower_id = 100 AND timestamp = {MIDNIGHT}").first().data_volume_mb == 0.25
 
 
+def test_stored_gold_states_have_few_parts(engine, drop, spark, monkeypatch):
+    drop(DAY, lines(towers=5))
+    seen = []
+    built = rollups.from_base
+    monkeypatch.setattr(rollups, "from_base", lambda *stored: seen.extend(stored) or built(*stored))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        engine.run("r1", DAY)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen) == 2  # hours and towers, each merged once for all tables
+    assert all(df.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism for df in seen)
+
+
 def test_gold_in_presentation_order(engine, drop):
     drop(DAY, lines(towers=5) + f"7,East,{MIDNIGHT},-70.5,1\n7,West,{MIDNIGHT},-70.5,1\n")
     drop(NEXT, lines(1, towers=1))

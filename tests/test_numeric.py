@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mastline.functions.numeric import (
     Moments,
     as_long,
+    is_number_text,
     round_half_even,
     text_to_double,
     text_to_long,
@@ -180,3 +181,11 @@ def test_shuffles_widen_with_the_input(spark):
         assert spark.conf.get(key) == "16384"
     finally:
         spark.conf.unset(key)
+
+
+def test_infinity_is_told_without_folding_every_text(spark):
+    fits = ["inf", "+INF", "-Inf", " infinity ", "-INFINITY"]
+    others = ["\u0130nf", "\u0131nf", "inf\n", "\tinf", "in f", "+-inf", "infinit", "1inf", ""]
+    found = spark.createDataFrame([(t,) for t in fits + others], "t string").select("t", is_number_text(F.col("t")).alias("n"))
+    assert [r.t for r in found.collect() if r.n] == fits
+    assert "lower" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
