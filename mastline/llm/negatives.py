@@ -27,7 +27,8 @@ TREE_ROWS = 4096  # candidates of a tree
 BLOCK_ROWS = 8192  # anchors that are sent to all trees at once
 LEAF = 64  # candidates up to which a node is a leaf
 SHRINK = 0.85  # radius of a level by that of the level above
-BEAM = 32  # nodes opened at once, the best first
+BEAM = 32  # nodes opened at once, the best first; more where these are small:
+BEAM_ROWS = 512  # children and rows of the nodes opened at once
 _ANY = 1 << 62
 _EXACT = 2.0**53  # doubles add whole numbers exactly below this
 
@@ -148,7 +149,9 @@ class CoverTree:
             front, top, bottom = front[open_], top[open_], bottom[open_]
             if not len(front):
                 return found
-            best = np.argpartition(-top, BEAM - 1)[:BEAM] if len(front) > BEAM else np.arange(len(front))
+            best = np.argsort(-top, kind="stable")
+            held = np.cumsum(self.last[front[best]] - self.first[front[best]])
+            best = best[: max(BEAM, int(np.searchsorted(held, BEAM_ROWS)))]
             opened = front[best]
             rest = np.ones(len(front), bool)
             rest[best] = False
@@ -164,6 +167,8 @@ class CoverTree:
             score = (points[row] @ asked).astype(np.int64)
             for w in range(len(floor)):
                 hit = np.flatnonzero((score >= floor[w]) & (score <= high[w]))
+                if len(hit) > k:  # ties with the last of the first k stay until the ids decide
+                    hit = hit[score[hit] >= np.partition(score[hit], -k)[-k]]
                 if len(hit):
                     i, s = np.concatenate([found[w][0], self.ids[row[hit]]]), np.concatenate([found[w][1], score[hit]])
                     order = np.lexsort((i, -s))[:k]

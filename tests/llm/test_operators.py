@@ -716,6 +716,25 @@ def test_cover_tree_skips_what_cannot_count():
     assert scores.tolist() == sorted((x @ x[0]).tolist(), reverse=True)[:5] and sum(seen) < 3200
 
 
+def test_small_leaves_are_opened_together():
+    rng = np.random.RandomState(6)
+    x = np.floor(256 * rng.randn(2000, 48)).astype(np.int64)
+    x[1:60] = x[61:120] = x[0]  # ties
+    tree = negatives.CoverTree.unpacked(negatives.CoverTree(np.arange(2000), np.zeros(2000, np.int64), x).packed())
+    assert tree.leaf.sum() > 300
+    seen = []
+    tree.vectors_near = Counting(tree.vectors_near, seen)
+    score = x @ x[0]
+    order = np.lexsort((np.arange(2000), -score))
+    ((ids, scores),) = tree.search(x[0], 1, False, -1, np.array([-(1 << 62)]), np.array([1 << 62]), 5)
+    assert ids.tolist() == order[:5].tolist() and scores.tolist() == score[order[:5]].tolist()
+    seen.clear()
+    top = int(score[5]) // 4
+    fit = order[score[order] <= top][:5]
+    ((ids, scores),) = tree.search(x[0], 1, False, -1, np.array([0]), np.array([top]), 5)
+    assert ids.tolist() == fit.tolist() and len(seen) < 10
+
+
 class Counting:
     """An array that counts the rows taken from it."""
 
